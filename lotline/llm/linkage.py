@@ -137,14 +137,14 @@ def link_streets(texts: DataFrame, lots: DataFrame) -> DataFrame:
 def link_addresses(lines: DataFrame) -> DataFrame:
     """(record_id, target_id, probability): records whose address is a target's.
 
-    ``lines`` (side 'record' or 'target', id, borough, house, street) holds both sides, read by
-    ``address.read_addresses``. Rows without id, borough, house or street have no partner; repeated rows count once; an
+    ``lines`` (side 'record', 'target' or 'street', id, borough, house, street) holds all sides, read by
+    ``address.read_addresses``; rows of side 'street' only tell which streets exist. Rows without id, borough, house or street have no partner; repeated rows count once; an
     empty side gives an empty result. A record whose street text fits several streets equally is linked only if one of
     them has its house number.
     """
     ok = lines.where("id is not null and borough is not null and house is not null and street <> ''").select("side", "id", "borough", "house", "street")
     ok = cut(ok.distinct())
-    targets = ok.where("side = 'target'").groupBy("borough", "street").agg(F.count_distinct("id").alias("n"))
+    targets = ok.where("side <> 'record'").groupBy("borough", "street").agg(F.count_distinct("id").alias("n"))
     texts = ok.groupBy("borough", "street").agg(F.count(F.lit(1)).alias("n"))
     links = cut(link_streets(texts, targets))
     placed = ok.join(links, ["borough", "street"])

@@ -9,11 +9,18 @@ from pyspark.sql import functions as F
 
 from lotline.functions.keys import lot_number, message_key
 from lotline.llm.address import borough_code, read_addresses
+from lotline.llm.entities import match_entities
 from lotline.llm.linkage import link_addresses, zip_boroughs
+from lotline.llm.mixing import mix_sources, sized_documents
 from lotline.llm.quality import common_words, judge, text_statistics
-from lotline.llm.tokens import encode_documents, vocabulary
+from lotline.llm.tokens import count_tokens, encode_documents, vocabulary
+from lotline.operators.spatial import near_points
 from lotline.session import cut, table
 
+#: Complaints and buildings count as near for the mixture, and as the same for want of anything better, within so many metres.
+NEAR_M, SAME_M = 25.0, 6.0
+IN_CITY = "latitude between 40 and 41 and longitude between -75 and -73"
+
 
 def _with_borough(df: DataFrame, zips: DataFrame, named: Column, zipcode: str, line: str, ident: Column, side: str) -> DataFrame:
     """Address rows for the linker; the postcode tells the borough where it is missing."""
@@ -45,6 +52,14 @@ def violation_lines(spark: SparkSession, d: str, zips: DataFrame) -> DataFrame:
     return _with_borough(hpd, zips, borough_code(F.col("boro"), F.col("boroid")), "zip", "line", F.concat(F.lit("HPD:"), message_key(F.col("violationid"))), "record")
 
 
+def building_lines(spark: SparkSession, d: str, zips: DataFrame) -> DataFrame:
+    """Current and former addresses of the buildings."""
+    b = table(spark, d, "building_identity")
+    every = F.explode(F.array_distinct(F.concat(F.array("current_address"), F.coalesce("address_aliases", F.array().cast("array<string>")))))
+    rows = b.select("bin", "borough", F.lit(None).cast("string").alias("zip"), every.alias("address"))
+    return _with_borough(rows, zips, borough_code(F.col("borough")), "zip", "address", F.col("bin"), "target")
+
+
 def read_all(rows: DataFrame) -> DataFrame:
     return read_addresses(rows, "line", ["side", "id", "borough"]).withColumn("borough", F.coalesce("borough", "named")).drop("named")
 
@@ -59,10 +74,46 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return p4_links(spark, d).select("record_id", "bbl")
 
 
+def p2_matches(spark: SparkSession, d: str) -> DataFrame:
+    lots, zips = lot_lines(spark, d)
+    rows = lots.withColumn("side", F.lit("street")).unionByName(building_lines(spark, d, zips)).unionByName(complaint_lines(spark, d, zips))
+    by_address = link_addresses(read_all(rows)).select(F.substring("record_id", 5, 1000).alias("record"), F.col("target_id").alias("target"))
+
+    calls = table(spark, d, "nyc_311").select(message_key(F.col("unique_key")).alias("record"), lot_number(F.col("bbl")).alias("lot"), "incident_address", "latitude", "longitude").where("record is not null")
+    b = table(spark, d, "building_identity")
+    lots_of = F.explode(F.array_distinct(F.concat(F.array("current_bbl"), F.coalesce("bbl_aliases", F.array().cast("array<string>")))))
+    carried = b.select("bin", lots_of.alias("bbl")).select("bin", lot_number(F.col("bbl")).alias("lot")).where("lot is not null and bin is not null").groupBy("lot").agg(F.count_distinct("bin").alias("n"), F.min("bin").alias("target")).where("n = 1").select("lot", "target")
+    by_key = calls.select("record", "lot").where("lot is not null").distinct().join(carried, "lot").select("record", "target")
+
+    points = calls.where(IN_CITY).select("record", F.col("longitude").alias("x"), F.col("latitude").alias("y")).distinct()
+    places = b.where(IN_CITY).select(F.col("bin").alias("place"), F.col("longitude").alias("x"), F.col("latitude").alias("y"))
+    by_place = points.join(near_points(points, places, NEAR_M), ["x", "y"]).select("record", F.col("place").alias("target"), "metres")
+
+    has = calls.select("record", F.coalesce(F.col("incident_address").rlike("[0-9]"), F.lit(False)).alias("has_address"), F.col("lot").isNotNull().alias("has_key"), F.coalesce(F.expr(IN_CITY), F.lit(False)).alias("has_point"))
+    return match_entities(by_address, by_key, by_place, has, SAME_M).select(F.col("record").alias("unique_key"), F.col("target").alias("bin"), "method", "confidence")
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return p2_matches(spark, d).select("unique_key", "bin")
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode_documents(table(spark, d, "documents"), "doc_id", "text", vocabulary())
 
 
+def _mixed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    docs = table(spark, d, "documents").select("doc_id", "source", "text")
+    return mix_sources(sized_documents(count_tokens(docs, "text", vocabulary())), table(spark, d, "mix_plan"))
+
+
+def p9_draws(spark: SparkSession, d: str) -> DataFrame:
+    return _mixed(spark, d)[0]
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return _mixed(spark, d)[1]
+
+
 def _judged(spark: SparkSession, d: str) -> DataFrame:
     words, han = common_words(table(spark, d, "common_word"))
     return judge(text_statistics(table(spark, d, "documents").select("doc_id", "text"), "text", words, han))
@@ -79,7 +130,7 @@ def p10_statistics(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p4_found, p4_links, p8_ids, p10_found, p10_statistics)}
+    return {f.__name__: f for f in (p2_found, p2_matches, p4_found, p4_links, p8_ids, p9_draws, p9_shares, p10_found, p10_statistics)}
 
 
 def oracle_sql() -> dict[str, str]:
