@@ -2,14 +2,35 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
+from collections.abc import Iterator
+from functools import lru_cache
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-#: Marks that open an entry of a list, and ends of a sentence.
-BULLET = r"^\s*(?:[-*+•·▪◦‣–—>]+|\[[ xX✓]?\]|\(?[0-9]{1,3}[.):]|\(?[a-zA-Z][.)])\s+"
-INLINE_BULLET = r"(?:^|[\s;|,/])(?:[-*+•·▪◦‣]|\[[ xX✓]?\]|\([0-9]{1,3}\)|[0-9]{1,3}[.)])\s"
-SENTENCE_END = r"[.!?…。！？][\"'”’»)\]]*\s*$"
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
+
+# Marks that open an entry of a list, and ends of a sentence.
+BULLET = re.compile(r"\s*(?:[-*+•·▪◦‣–—>]+|\[[ xX✓]?\]|\(?[0-9]{1,3}[.):]|\(?[a-zA-Z][.)])\s+")
+INLINE_BULLET = re.compile(r"(?:^|[\s;|,/])(?:[-*+•·▪◦‣]|\[[ xX✓]?\]|\([0-9]{1,3}\)|[0-9]{1,3}[.)])\s")
+SENTENCE_END = re.compile(r"[.!?…。！？][\"'”’»)\]]*\s*$")
+SENTENCE_ENDS = re.compile(r"[.!?…][\"'”’»)\]]*(?:\s|$)|[。！？]")
+SEPARATOR = re.compile(r"\s[|>»/•·–—-]\s")
+GAP = re.compile(r"\S {2,}\S")
+MARKUP = re.compile(r"</?[a-zA-Z][^<>]{0,200}>|&[a-z]{2,6};|\{[^{}]{0,400}\}")
+MOJIBAKE = re.compile("[\u0080-\u009fÃÂÐÑâ-éï\ufffd][\u0080-¿\ufffd‘-„†-‰€ŠšŒœŽžƒˆ˜]")
+WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
+PLAIN_SIGNS = ".,;:!?'\"()¿¡。，！？、；：“”‘’«»-"
+BLANKS = re.compile(r"\s+")
 DELIMITERS = {"pipe": "|", "tab": "\t", "semi": ";", "comma": ","}
+COUNTS = ["n_lines", "n_words", "n_tokens_ws", "n_solid", "longest_token", "inline_bullets", "separators", "sentence_ends", "common_words", "distinct_common", "han_common", "hans", *[f"{d}_fields" for d in DELIMITERS]]
+SHARES = [
+    "letter_share", "digit_share", "symbol_share", "han_share", "mojibake_share", "replacement_share", "tag_share", "mean_word_length", "mean_line_words", "mean_token", "ended_line_share", "bullet_line_share", "short_line_share",
+    "gapped_line_share", "distinct_word_share", "common_share", "han_common_share", *[f"{d}_regular" for d in DELIMITERS],
+]
 #: Words of a text are compared with at most this many common words; the table is a small fixed list.
 MAX_COMMON_WORDS = 20_000
 
@@ -24,75 +45,88 @@ def common_words(words: DataFrame) -> tuple[list[str], list[str]]:
     return [w for w in both if w not in set(han)], han
 
 
-def _count(c: Column, pattern: str) -> Column:
-    return F.regexp_count(c, F.lit(pattern))
-
-
-def _share(part: Column, whole: Column) -> Column:
-    return F.when(whole > 0, part / whole).otherwise(0.0)
-
-
-def _marks(delimiter: str) -> Column:
-    return F.transform("_lines", lambda x: F.length(x) - F.length(F.translate(x, delimiter, "")))
-
-
-def _regularity(counts: str) -> tuple[Column, Column]:
+@lru_cache(maxsize=1)
+def _classes() -> np.ndarray:
+    """For each code point: 0 white space, 1 letter, 2 digit, 3 plain sign or mark, 4 symbol; +8 for Han, +16 for replacement and control."""
+    table = np.full(0x110000, 4, np.uint8)
+    for c in range(0x110000):
+        if 0x3400 <= c <= 0x9FFF:
+            table[c] = 1 | 8
+            continue
+        if 0x20000 <= c <= 0x3FFFF or 0xAC00 <= c <= 0xD7A3:
+            table[c] = 1
+            continue
+        if 0xE000 <= c <= 0xF8FF or c >= 0x40000:
+            continue
+        kind = unicodedata.category(chr(c))[0]
+        if chr(c).isspace():
+            table[c] = 0
+        elif kind == "L":
+            table[c] = 1
+        elif 48 <= c <= 57:
+            table[c] = 2
+        elif kind in "MN" or chr(c) in PLAIN_SIGNS:
+            table[c] = 3
+    table[0xFFFD] = 4 | 16
+    table[:9] |= 16
+    return table
+
+
+def _regular(lines: list[str], mark: str) -> tuple[int, float]:
     """Fields of the middle line, and the share of lines with as many."""
-    s = F.array_sort(counts)
-    mid = F.coalesce(F.try_element_at(s, F.floor(F.size(s) / 2).cast("int") + 1), F.lit(0))
-    return mid + 1, F.when(mid > 0, _share(F.size(F.filter(counts, lambda x: x == mid)), F.col("n_lines"))).otherwise(0.0)
+    counts = [x.count(mark) for x in lines]
+    mid = sorted(counts)[len(counts) // 2] if counts else 0
+    return mid + 1, counts.count(mid) / len(counts) if mid else 0.0
+
+
+def describe(text: str | None, words: frozenset[str], han: frozenset[str], classes: np.ndarray) -> list[float]:
+    """COUNTS, then SHARES, of one whole text; NULL, empty and blank texts give zeros."""
+    t = (text or "").replace("\r\n", "\n").replace("\r", "\n").replace("\u2028", "\n")
+    tokens = t.split()
+    if not tokens:
+        return [0] * 12 + [1] * 4 + [0.0] * len(SHARES)
+    lines = [x for x in t.split("\n") if x and not x.isspace()]
+    kinds = np.bincount(classes[np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)], minlength=32)
+    solid = int(kinds.sum() - kinds[0] - kinds[16])
+    letters, hans = int(kinds[1] + kinds[9]), int(kinds[9])
+    found = WORD.findall(t.lower())
+    common = [w for w in found if w in words]
+    han_common = sum(map(t.count, han)) if hans else 0
+    plain = t.isascii()
+    tag = solid - sum(map(len, MARKUP.sub("", t).split())) if "<" in t or "&" in t or "{" in t else 0
+    widths = [len(x.split()) for x in lines]
+    n_lines, n_words, n_tokens = len(lines), len(found), len(tokens)
+    fields = [_regular(lines, d) for d in DELIMITERS.values()]
+    share = lambda a, b: a / b if b else 0.0
+    counts = [
+        n_lines, n_words, n_tokens, solid, max(map(len, tokens)), len(INLINE_BULLET.findall(t)), len(SEPARATOR.findall(t)), len(SENTENCE_ENDS.findall(t)), len(common), len(set(common)), han_common, hans,
+        *[f for f, _ in fields],
+    ]
+    shares = [
+        share(letters, solid), share(int(kinds[2]), solid), share(int(kinds[4] + kinds[20]), solid), share(hans, solid), 0.0 if plain else share(len(MOJIBAKE.findall(t)), solid), share(int(kinds[16:].sum()), solid), share(tag, solid),
+        share(sum(map(len, found)), n_words), n_tokens / n_lines, solid / n_tokens, sum(bool(SENTENCE_END.search(x)) for x in lines) / n_lines, sum(bool(BULLET.match(x)) for x in lines) / n_lines, sum(w <= 9 for w in widths) / n_lines,
+        sum(bool(GAP.search(x)) for x in lines) / n_lines, share(len(set(found)), n_words), share(len(common), n_words), share(han_common, hans), *[r for _, r in fields],
+    ]
+    return counts + shares
 
 
 def text_statistics(df: DataFrame, text: str, words: list[str], han: list[str]) -> DataFrame:
-    """``df`` with the statistics of ``text``; columns of ``df`` with a statistic's name are replaced.
+    """``df`` without ``text``, plus the statistics of ``text``; columns of ``df`` with a statistic's name are dropped.
 
-    NULL, empty and blank texts get zeros. Whole texts count, however long. Everything is built from engine functions.
+    NULL, empty and blank texts get zeros (fields: one). Whole texts count, however long. One narrow pass in Arrow batches.
     """
-    t = F.regexp_replace(F.coalesce(F.col(f"`{text}`"), F.lit("")), "\r\n?| ", "\n")
-    base = df.withColumns({"_t": t, "_lines": F.filter(F.split(t, "\n"), lambda x: x.rlike(r"\S"))})
-    low = F.lower("_t")
-    base = base.withColumns({"_words": F.expr(r"regexp_extract_all(lower(_t), '[\\p{L}\\p{M}]+(?:[''’][\\p{L}]+)*', 0)"), "_tokens": F.filter(F.split("_t", r"\s+"), lambda x: x != "")})
-    n_lines, n_words, n_tokens = F.size("_lines"), F.size("_words"), F.size("_tokens")
-    solid = F.length(F.regexp_replace("_t", r"\s+", ""))
-    letters = _count(F.col("_t"), r"\p{L}")
-    hans = _count(F.col("_t"), r"[㐀-鿿]")
-    stats = {
-        "n_lines": n_lines,
-        "n_words": n_words,
-        "n_tokens_ws": n_tokens,
-        "n_solid": solid,
-        "letter_share": _share(letters, solid),
-        "digit_share": _share(_count(F.col("_t"), "[0-9]"), solid),
-        "symbol_share": _share(_count(F.col("_t"), r"[^\p{L}\p{M}\p{N}\s.,;:!?'\"()¿¡。，！？、；：“”‘’«»-]"), solid),
-        "han_share": _share(hans, solid),
-        "mojibake_share": _share(_count(F.col("_t"), "[\u0080-\u009fÃÂÐÑâ-éï�][\u0080-¿�‘-„†-‰€ŠšŒœŽžƒˆ˜]"), solid),
-        "replacement_share": _share(_count(F.col("_t"), "[�\u0000-\u0008]"), solid),
-        "tag_share": _share(F.length(F.regexp_replace("_t", r"\s+", "")) - F.length(F.regexp_replace(F.regexp_replace("_t", r"</?[a-zA-Z][^<>]{0,200}>|&[a-z]{2,6};|\{[^{}]{0,400}\}", ""), r"\s+", "")), solid),
-        "mean_word_length": _share(F.aggregate("_words", F.lit(0), lambda a, w: a + F.length(w)), n_words),
-        "longest_token": F.coalesce(F.array_max(F.transform("_tokens", F.length)), F.lit(0)),
-        "mean_line_words": _share(n_tokens, n_lines),
-        "ended_line_share": _share(F.size(F.filter("_lines", lambda x: x.rlike(SENTENCE_END))), n_lines),
-        "bullet_line_share": _share(F.size(F.filter("_lines", lambda x: x.rlike(BULLET))), n_lines),
-        "bulleted_word_share": _share(F.aggregate(F.filter("_lines", lambda x: x.rlike(BULLET)), F.lit(0), lambda a, x: a + F.size(F.split(F.trim(x), r"\s+"))), n_tokens),
-        "separators": _count(F.col("_t"), r"\s[|>»/•·–—-]\s"),
-        "gapped_line_share": _share(F.size(F.filter("_lines", lambda x: x.rlike(r"\S {2,}\S"))), n_lines),
-        "distinct_word_share": _share(F.size(F.array_distinct("_words")), n_words),
-        "inline_bullets": _count(F.col("_t"), INLINE_BULLET),
-        "short_line_share": _share(F.size(F.filter("_lines", lambda x: F.size(F.split(F.trim(x), r"\s+")) <= 9)), n_lines),
-        "sentence_ends": _count(F.col("_t"), r"[.!?…](?:[\"'”’»)\]]*)(?:\s|$)|[。！？]"),
-        "common_words": F.size(F.filter("_words", lambda w: w.isin(words) if words else F.lit(False))),
-        "distinct_common": F.size(F.array_distinct(F.filter("_words", lambda w: w.isin(words) if words else F.lit(False)))),
-        "han_common": _count(F.col("_t"), "[" + "".join(han) + "]") if han else F.lit(0),
-        "hans": hans,
-        "distinct_line_share": _share(F.size(F.array_distinct(F.transform("_lines", lambda x: F.lower(F.regexp_replace(x, r"[0-9\W_]+", ""))))), n_lines),
-    }
-    for name, d in DELIMITERS.items():
-        stats[f"{name}_counts"] = _marks(d)
-    out = base.withColumns(stats)
-    more = {"common_share": _share(F.col("common_words"), F.col("n_words")), "han_common_share": _share(F.col("han_common"), F.col("hans")), "mean_token": _share(F.col("n_solid"), F.col("n_tokens_ws"))}
-    for name in DELIMITERS:
-        more[f"{name}_fields"], more[f"{name}_regular"] = _regularity(f"{name}_counts")
-    return out.withColumns(more).drop("_t", "_lines", "_words", "_tokens", *[f"{n}_counts" for n in DELIMITERS])
+    keep = [c for c in df.columns if c != text and c not in COUNTS and c not in SHARES]
+    schema = StructType([*(df.schema[c] for c in keep), *(StructField(c, IntegerType()) for c in COUNTS), *(StructField(c, DoubleType()) for c in SHARES)])
+    both = frozenset(words), frozenset(han)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes = _classes()
+        for b in batches:
+            rows = list(zip(*[describe(t, *both, classes) for t in b.column(len(keep)).to_pylist()], strict=True)) or [()] * (len(COUNTS) + len(SHARES))
+            cols = [pa.array(r, pa.int32() if k < len(COUNTS) else pa.float64()) for k, r in enumerate(rows)]
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], *cols], names=[*keep, *COUNTS, *SHARES])
+
+    return df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("string")).mapInArrow(run, schema)
 
 
 def rules() -> dict[str, dict[str, Column]]:
