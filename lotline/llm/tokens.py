@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import base64
 import os
+import re
 from array import array
 from collections.abc import Iterator
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,8 @@ from pyspark.sql import DataFrame
 
 #: Fixed value: the published pattern that splits text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: The same for texts of ASCII characters only, where the classes are small and the standard matcher is faster.
+ASCII_PATTERN = PATTERN.replace(r"\p{L}", "A-Za-z").replace(r"\p{N}", "0-9").replace(" ?A-Za-z+", " ?[A-Za-z]+").replace(" ?0-9+", " ?[0-9]+").replace(r"[^\s", r"[^ \t\n\r\x0b\x0c").replace(r"\s", r"[ \t\n\r\x0b\x0c]").replace(r"\S", r"[^ \t\n\r\x0b\x0c]")
 #: Where the vocabulary files lie, unless a path is given.
 TOKENIZER_DIR = os.environ.get("LOTLINE_TOKENIZERS", "/opt/tokenizers")
 BYTE_BPE_50K = "byte_bpe_50k.tiktoken"
@@ -49,12 +53,15 @@ class BpeTransducer:
 
     def merge(self, piece: bytes) -> list[int]:
         """The definition: join the pair of least rank, again and again. Only used on one or two tokens at a time."""
-        parts = [piece[i : i + 1] for i in range(len(piece))]
+        parts, get = [piece[i : i + 1] for i in range(len(piece))], self.ranks.get
+        none = 1 << 60
         while len(parts) > 1:
-            best = min(range(len(parts) - 1), key=lambda i: self.ranks.get(parts[i] + parts[i + 1], 1 << 60))
-            if parts[best] + parts[best + 1] not in self.ranks:
+            rank = [get(a + b, none) for a, b in pairwise(parts)]
+            best = min(rank)
+            if best == none:
                 break
-            parts[best : best + 2] = [parts[best] + parts[best + 1]]
+            at = rank.index(best)
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return [self.ranks[p] for p in parts]
 
     def _follows(self, before: int | None, token: int) -> bool:
@@ -71,20 +78,22 @@ class BpeTransducer:
         """Determinise one step: the next state and the tokens that are settled by it."""
         last, places = self._states[state]
         b = bytes((byte,))
-        path = None
+        path, live, ranks, prefixes = None, [], self.ranks, self.prefixes
         for text, unsent in places:  # the earliest place gives the longest token
-            token = self.ranks.get(text + b)
-            if token is not None and self._follows(unsent[-1] if unsent else last, token):
-                path = (*unsent, token)
-                break
+            text += b
+            if path is None:
+                token = ranks.get(text)
+                if token is not None and self._follows(unsent[-1] if unsent else last, token):
+                    path = (*unsent, token)
+            if text in prefixes:
+                live.append((text, unsent))
         if path is None:
             raise ValueError("the vocabulary lacks a byte")
-        live = [(text + b, unsent) for text, unsent in places if text + b in self.prefixes]
         live.append((b"", path))
-        n = min(len(u) for _, u in live)
-        first = live[0][1]
-        while n and any(u[:n] != first[:n] for _, u in live):
-            n -= 1
+        first, n = live[0][1], 0
+        least = min(len(u) for _, u in live)
+        while n < least and all(u[n] == first[n] for _, u in live):
+            n += 1
         sent = first[:n]
         nxt = (sent[-1] if sent else last, tuple((t, u[n:]) for t, u in live))
         at = self._ids.get(nxt)
@@ -95,6 +104,9 @@ class BpeTransducer:
         return arc
 
     def encode_piece(self, piece: bytes) -> tuple[int, ...]:
+        whole = self.ranks.get(piece)
+        if whole is not None and self._follows(None, whole):
+            return (whole,)
         if len(self._arcs) > MAX_ARCS:
             self._reset()
         arcs, state, out = self._arcs, 0, []
@@ -107,30 +119,35 @@ class BpeTransducer:
         return tuple(out)
 
 
+class Pieces(dict):
+    """The encodings of pieces; one that is missing goes through the transducer."""
+
+    def __init__(self, fst: BpeTransducer) -> None:
+        super().__init__()
+        self.fst = fst
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        ids = self.fst.encode_piece(piece.encode("utf-8"))
+        if len(piece) <= 64:
+            if len(self) >= MAX_PIECES:
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 class Encoder:
     """Whole texts: the pattern cuts pieces, the transducer encodes each; pieces seen before are looked up."""
 
     def __init__(self, path: str) -> None:
         self.fst = BpeTransducer(load_ranks(path))
-        self.cut = regex.compile(PATTERN)
-        self.seen: dict[str, tuple[int, ...]] = {}
+        self.cut = regex.compile(PATTERN).findall
+        self.cut_ascii = re.compile(ASCII_PATTERN).findall
+        self.seen = Pieces(self.fst)
 
-    def encode(self, text: str | None) -> array:
-        out = array("i")
+    def encode(self, text: str | None) -> list[int]:
         if not text:
-            return out
-        seen = self.seen
-        for m in self.cut.finditer(text):
-            piece = m.group()
-            ids = seen.get(piece)
-            if ids is None:
-                ids = self.fst.encode_piece(piece.encode("utf-8"))
-                if len(piece) <= 64:
-                    if len(seen) >= MAX_PIECES:
-                        seen.clear()
-                    seen[piece] = ids
-            out.extend(ids)
-        return out
+            return []
+        return list(chain.from_iterable(map(self.seen.__getitem__, self.cut_ascii(text) if text.isascii() else self.cut(text))))
 
 
 class Utf8Stream:
@@ -218,8 +235,8 @@ def encode_documents(df: DataFrame, key: str, text: str, path: str) -> DataFrame
             for k in range(0, b.num_rows, 1024):
                 part = b.slice(k, 1024)
                 flat, ends = array("i"), [0]
-                for t in part.column(1):
-                    flat.extend(enc.encode(t.as_py()))
+                for t in part.column(1).to_pylist():
+                    flat.extend(enc.encode(t))
                     ends.append(len(flat))
                 ids = pa.ListArray.from_arrays(pa.array(np.array(ends, np.int32)), pa.array(np.frombuffer(flat, np.int32) if flat else np.empty(0, np.int32)))
                 yield pa.RecordBatch.from_arrays([part.column(0), ids], names=[key, "ids"])
@@ -237,7 +254,7 @@ def count_tokens(df: DataFrame, text: str, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for b in batches:
-            n = [len(enc.encode(t.as_py())) for t in b.column(len(keep))]
+            n = [len(enc.encode(t)) for t in b.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(n, pa.int32())], names=[*keep, "n_tokens"])
 
     return df.select(*[f"`{c}`" for c in keep], f"`{text}`").mapInArrow(run, schema)
