@@ -63,7 +63,7 @@ def seen_ranges(messages: DataFrame) -> DataFrame:
     Each input partition first makes its own ranges, equal ranges are added up, and the ranges of one block of
     65,536 numbers are merged in one sweep; so a number delivered millions of times moves as one row a partition.
     """
-    numbers = messages.where(is_sequence_key(F.col("key"))).select("producer", F.col("key").cast("bigint").alias("number"))
+    numbers = messages.where(F.col("producer").isNotNull() & is_sequence_key(F.col("key"))).select("producer", F.col("key").cast("bigint").alias("number"))
     local = numbers.mapInArrow(_local_ranges, RANGES).groupBy("producer", "block", "lo", "hi").agg(F.sum("copies").alias("copies"))
     return merge_ranges(local)
 
@@ -80,12 +80,12 @@ def merge_ranges(ranges: DataFrame) -> DataFrame:
 
 
 def repeated_messages(messages: DataFrame) -> DataFrame:
-    """(producer, key, copies) of the keys delivered more than once; NULL keys are no messages.
+    """(producer, key, copies) of the keys delivered more than once; rows with NULL keys or producers are no messages.
 
     Sequence numbers go through merged ranges, other identifiers through exact keyed counts.
     Empty input gives an empty result; extra columns are ignored.
     """
-    keyed = messages.where("key is not null")
+    keyed = messages.where("producer is not null and key is not null")
     many = seen_ranges(keyed).where("copies > 1").select("producer", F.explode(F.sequence("lo", "hi")).alias("key"), "copies").withColumn("key", F.col("key").cast("string"))
     odd = keyed.where(~is_sequence_key(F.col("key"))).groupBy("producer", "key").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
     return many.unionByName(odd.select("producer", "key", "copies"))
@@ -99,16 +99,16 @@ def keep_one(df: DataFrame, key: Column, newest: list[Column]) -> DataFrame:
     return picked.select("_row.*")
 
 
-def accept_new(batch: DataFrame, seen: DataFrame, newest: list[Column]) -> tuple[DataFrame, DataFrame]:
-    """Rows of ``batch`` (producer, key, ...) not covered by ``seen``, one for each key, and the new seen ranges.
+def accept_new(batch: DataFrame, seen: DataFrame, odd: DataFrame, newest: list[Column]) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``batch`` (producer, key, ...) with keys not seen before, one for each key, and the new seen ranges.
 
-    Malformed identifiers have no place in a range: within the batch they are resolved by their exact key; across
-    batches the caller joins them against the keys it kept.
+    Sequence numbers are looked up in the disjoint ranges ``seen``, malformed identifiers exactly in ``odd`` (producer,
+    key). NULL keys are no messages; of repeated rows the greatest by ``newest`` stays. Empty state accepts all.
     """
-    one = keep_one(batch, F.struct("producer", "key"), newest)
+    one = keep_one(batch.where("producer is not null and key is not null"), F.struct("producer", "key"), newest)
     number = F.when(is_sequence_key(F.col("key")), F.col("key").cast("bigint"))
     tagged = one.withColumn("_number", number).withColumn("_block", F.shiftright("_number", BLOCK_BITS))
     s = seen.select(F.col("producer").alias("_p"), F.col("block").alias("_b"), "lo", "hi")
-    cond = (F.col("producer") == F.col("_p")) & (F.col("_block") == F.col("_b")) & F.col("_number").between(F.col("lo"), F.col("hi"))
-    new = tagged.join(s, cond, "left_anti").drop("_number", "_block")
+    covered = (F.col("producer") == F.col("_p")) & (F.col("_block") == F.col("_b")) & F.col("_number").between(F.col("lo"), F.col("hi"))
+    new = tagged.join(s, covered, "left_anti").join(odd.select("producer", "key"), ["producer", "key"], "left_anti").select(*batch.columns)
     return new, merge_ranges(seen.unionByName(seen_ranges(batch.select("producer", "key"))))
