@@ -18,7 +18,7 @@ from lotline.operators.spatial import near_points
 from lotline.session import cut, table
 
 #: Complaints and buildings count as near for the mixture, and as the same for want of anything better, within so many metres.
-NEAR_M, SAME_M = 25.0, 6.0
+NEAR_M, SAME_M = 15.0, 6.0
 IN_CITY = "latitude between 40 and 41 and longitude between -75 and -73"
 
 
@@ -26,8 +26,7 @@ def _with_borough(df: DataFrame, zips: DataFrame, named: Column, zipcode: str, l
     """Address rows for the linker; the postcode tells the borough where it is missing."""
     z = F.regexp_extract(zipcode, "^\\s*([0-9]{5})", 1)
     rows = df.select(F.lit(side).alias("side"), ident.alias("id"), named.alias("b"), z.alias("zip"), F.col(line).alias("line")).where("id is not null and line is not null").distinct()
-    rows = rows.join(F.broadcast(zips), "zip", "left").select("side", "id", F.coalesce("b", "zip_borough").alias("borough"), "line")
-    return rows
+    return rows.join(F.broadcast(zips), "zip", "left").select("side", "id", F.coalesce("b", "zip_borough").alias("borough"), "line")
 
 
 def _line(house: str, street: str) -> Column:
@@ -76,20 +75,29 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_matches(spark: SparkSession, d: str) -> DataFrame:
     lots, zips = lot_lines(spark, d)
-    rows = lots.withColumn("side", F.lit("street")).unionByName(building_lines(spark, d, zips)).unionByName(complaint_lines(spark, d, zips))
-    by_address = link_addresses(read_all(rows)).select(F.substring("record_id", 5, 1000).alias("record"), F.col("target_id").alias("target"))
+    # one narrow copy of the complaints, distinct over deliveries, serves all blocks
+    calls = cut(
+        table(spark, d, "nyc_311")
+        .select(
+            message_key(F.col("unique_key")).alias("record"), lot_number(F.col("bbl")).alias("lot"), "incident_address", borough_code(F.col("borough")).alias("b"), "incident_zip",
+            F.when(F.expr(IN_CITY), F.col("longitude")).alias("x"), F.when(F.expr(IN_CITY), F.col("latitude")).alias("y"),
+        )
+        .where("record is not null")
+        .distinct()
+    )
+    rows = lots.withColumn("side", F.lit("street")).unionByName(building_lines(spark, d, zips)).unionByName(_with_borough(calls, zips, F.col("b"), "incident_zip", "incident_address", F.col("record"), "record"))
+    by_address = link_addresses(read_all(rows)).select(F.col("record_id").alias("record"), F.col("target_id").alias("target"))
 
-    calls = table(spark, d, "nyc_311").select(message_key(F.col("unique_key")).alias("record"), lot_number(F.col("bbl")).alias("lot"), "incident_address", "latitude", "longitude").where("record is not null")
     b = table(spark, d, "building_identity")
     lots_of = F.explode(F.array_distinct(F.concat(F.array("current_bbl"), F.coalesce("bbl_aliases", F.array().cast("array<string>")))))
-    carried = b.select("bin", lots_of.alias("bbl")).select("bin", lot_number(F.col("bbl")).alias("lot")).where("lot is not null and bin is not null").groupBy("lot").agg(F.count_distinct("bin").alias("n"), F.min("bin").alias("target")).where("n = 1").select("lot", "target")
-    by_key = calls.select("record", "lot").where("lot is not null").distinct().join(carried, "lot").select("record", "target")
+    carried = b.select("bin", lots_of.alias("bbl")).select("bin", lot_number(F.col("bbl")).alias("lot")).where("lot is not null and bin is not null").groupBy("lot").agg(F.min("bin").alias("target"), F.max("bin").alias("other")).where("target = other").select("lot", "target")
+    by_key = calls.select("record", "lot").where("lot is not null").join(carried, "lot").select("record", "target")
 
-    points = calls.where(IN_CITY).select("record", F.col("longitude").alias("x"), F.col("latitude").alias("y")).distinct()
+    points = calls.select("record", "x", "y").where("x is not null and y is not null")
     places = b.where(IN_CITY).select(F.col("bin").alias("place"), F.col("longitude").alias("x"), F.col("latitude").alias("y"))
     by_place = points.join(near_points(points, places, NEAR_M), ["x", "y"]).select("record", F.col("place").alias("target"), "metres")
 
-    has = calls.select("record", F.coalesce(F.col("incident_address").rlike("[0-9]"), F.lit(False)).alias("has_address"), F.col("lot").isNotNull().alias("has_key"), F.coalesce(F.expr(IN_CITY), F.lit(False)).alias("has_point"))
+    has = calls.select("record", F.coalesce(F.col("incident_address").rlike("[0-9]"), F.lit(False)).alias("has_address"), F.col("lot").isNotNull().alias("has_key"), F.col("x").isNotNull().alias("has_point"))
     return match_entities(by_address, by_key, by_place, has, SAME_M).select(F.col("record").alias("unique_key"), F.col("target").alias("bin"), "method", "confidence")
 
 
