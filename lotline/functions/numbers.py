@@ -30,13 +30,19 @@ def round_half_up(c: Column, digits: int = 2) -> Column:
     return F.floor(c * k + 0.5) / k
 
 
+def _capped(c: Column, cap: float) -> Column:
+    """``least`` alone would take the cap for NULL."""
+    return F.when(c.isNotNull(), F.least(c.cast("double"), F.lit(float(cap))))
+
+
 def log_score(c: Column, cap: float) -> Column:
-    """0 to 100: logarithm of the value, full at ``cap``."""
-    return F.log1p(F.least(c.cast("double"), F.lit(float(cap)))) / math.log1p(cap) * 100
+    """0 to 100: logarithm of the value, full at ``cap``; NULL for NULL."""
+    return F.log1p(_capped(c, cap)) / math.log1p(cap) * 100
 
 
 def linear_score(c: Column, cap: float) -> Column:
-    return F.least(c.cast("double"), F.lit(float(cap))) / cap * 100
+    """0 to 100 in proportion to the value, full at ``cap``; NULL for NULL."""
+    return _capped(c, cap) / cap * 100
 
 
 def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
