@@ -21,15 +21,20 @@ NEAR_VALUE = [0.0, 0.0, 0.4, 0.3, 0.5, 0.75, 0.9, 1.0]
 VECTORS = np.array([[KNOWN[a], KNOWN[k], NEAR_VALUE[n]] for a in range(3) for k in range(3) for n in range(8)])
 
 
-def vector_id(address: Column, key: Column, near: Column) -> Column:
-    return (address * 24 + key * 8 + near).cast("int")
+def _near_step(metres: Column) -> Column:
+    """0 for not near, else 1 (far) to 5 (at the place)."""
+    c = F.when(metres <= NEAR_STEPS[0][0], NEAR_STEPS[0][1] - 2)
+    for limit, level, _ in NEAR_STEPS[1:]:
+        c = c.when(metres <= limit, level - 2)
+    return c.otherwise(0)
 
 
-def near_level(metres: Column, has_point: Column) -> Column:
-    c = F.when(metres <= NEAR_STEPS[0][0], NEAR_STEPS[0][1])
-    for limit, level, _ in NEAR_STEPS[1:]:
-        c = c.when(metres <= limit, level)
-    return c.when(has_point, 0).otherwise(2)
+def _vector(code: Column) -> Column:
+    """Place on the grid of a code (equal address, equal key, nearness) of a record, by what the record has."""
+    address, key, near = F.floor(code / 12), F.floor(code / 6) % 2, code % 6
+    level = lambda hit, known: F.when(hit == 1, 2).when(F.col(known), 0).otherwise(1)
+    n = F.when(near > 0, near + 2).when(F.col("has_point"), 0).otherwise(2)
+    return (level(address, "has_address") * 24 + level(key, "has_key") * 8 + n).cast("int")
 
 
 def _density(mean: np.ndarray, cov: np.ndarray) -> np.ndarray:
@@ -75,20 +80,18 @@ def _lookup(values: np.ndarray, at: Column) -> Column:
     return F.element_at(F.array(*[F.lit(float(x)) for x in values]), at + 1)
 
 
-def fit_mixture(pairs: DataFrame, rounds: int = 8) -> MatchMixture:
-    """Fit on all (record, vector) pairs.
+def fit_mixture(records: DataFrame, rounds: int = 8) -> MatchMixture:
+    """Fit on all pairs, given as one ``profile`` a record: its pairs counted by vector, at most 72 entries.
 
-    A record's pairs are first counted by vector (at most 72), and records with equal counts are one profile; each round
-    is one aggregation over the profiles that returns at most 72 sums. No pairs leave the start values.
+    Records with equal profiles are counted together; each round is one aggregation over the profiles that returns at
+    most 72 sums. No records leave the start values.
     """
-    profile = pairs.groupBy("record", "vector").agg(F.count(F.lit(1)).alias("n")).groupBy("record").agg(F.array_sort(F.collect_list(F.struct("vector", "n"))).alias("profile"))
-    profiles = cut(profile.groupBy("profile").agg(F.count(F.lit(1)).alias("records")))
+    profiles = cut(records.groupBy("profile").agg(F.count(F.lit(1)).alias("records")))
     model = MatchMixture()
     for _ in range(rounds):
         odds = model.odds()
-        total = F.aggregate("profile", F.lit(1.0), lambda acc, x: acc + x.n * _lookup(odds, x.vector))
         rows = (
-            profiles.select("records", F.explode("profile").alias("x"), total.alias("total"))
+            profiles.select("records", F.explode("profile").alias("x"), _total(odds).alias("total"))
             .groupBy(F.col("x.vector").alias("vector"))
             .agg(F.sum(F.col("records") * F.col("x.n")).alias("seen"), F.sum(F.col("records") * F.col("x.n") * _lookup(odds, F.col("x.vector")) / F.col("total")).alias("matched"))
             .collect()
@@ -102,6 +105,11 @@ def fit_mixture(pairs: DataFrame, rounds: int = 8) -> MatchMixture:
     return model
 
 
+def _total(odds: np.ndarray) -> Column:
+    """1 for no match, plus the odds of each of a record's pairs."""
+    return F.aggregate("profile", F.lit(1.0), lambda acc, x: acc + x.n * _lookup(odds, x.vector))
+
+
 def match_entities(by_address: DataFrame, by_key: DataFrame, by_place: DataFrame, records: DataFrame, within: float) -> DataFrame:
     """(record, target, method, confidence): the one target of each record, or none.
 
@@ -110,30 +118,45 @@ def match_entities(by_address: DataFrame, by_key: DataFrame, by_place: DataFrame
     what a record has, for the levels of missing values. The posterior comes from the mixture; the exact check that
     follows takes the one target of equal address, else the one of equal key, else the nearest within ``within`` metres
     if no other is as near. A record with none of these has no row. NULL records and targets are ignored, repeated rows
-    count once.
+    count once. Blocks and records meet in one shuffle by record; a record's pairs are never gathered, only counted.
     """
-    null = lambda c, t: F.lit(None).cast(t).alias(c)
-    parts = by_address.select("record", "target", F.lit(1).alias("a"), null("k", "int"), null("metres", "double"))
-    parts = parts.unionByName(by_key.select("record", "target", null("a", "int"), F.lit(1).alias("k"), null("metres", "double")))
-    parts = parts.unionByName(by_place.select("record", "target", null("a", "int"), null("k", "int"), "metres"))
-    pairs = parts.where("record is not null and target is not null").groupBy("record", "target").agg(F.max("a").alias("a"), F.max("k").alias("k"), F.min("metres").alias("metres"))
-    has = records.groupBy("record").agg(F.max("has_address").alias("has_address"), F.max("has_key").alias("has_key"), F.max("has_point").alias("has_point"))
-    level = lambda hit, known: F.when(F.col(hit) == 1, 2).when(F.col(known), 0).otherwise(1)
-    pairs = cut(pairs.join(has, "record").select("record", "target", "a", "k", "metres", vector_id(level("a", "has_address"), level("k", "has_key"), near_level(F.col("metres"), F.col("has_point"))).alias("vector")))
-    odds = fit_mixture(pairs).odds()
+    fields = {"target": "string", "a": "int", "k": "int", "metres": "double", "has_address": "boolean", "has_key": "boolean", "has_point": "boolean"}
+    rows = lambda df, **have: df.select("record", *[have[c].cast(t).alias(c) if c in have else F.lit(None).cast(t).alias(c) for c, t in fields.items()])
+    target = F.col("target")
+    parts = rows(by_address.where("target is not null"), target=target, a=F.lit(1))
+    parts = parts.unionByName(rows(by_key.where("target is not null"), target=target, k=F.lit(1)))
+    parts = parts.unionByName(rows(by_place.where("target is not null"), target=target, metres=F.col("metres")))
+    parts = parts.unionByName(rows(records, **{c: F.col(c) for c in ("has_address", "has_key", "has_point")}))
+    together = parts.where("record is not null").repartition("record")
+
+    hit = lambda c: F.coalesce(c, F.lit(0))
+    pairs = together.groupBy("record", "target").agg(*[F.max(c).alias(c) for c in ("a", "k", "has_address", "has_key", "has_point")], F.min("metres").alias("metres"))
+    code = F.when(target.isNotNull(), hit(F.col("a")) * 12 + hit(F.col("k")) * 6 + _near_step(F.col("metres")))
+    coded = pairs.withColumn("code", code)
     near = F.col("metres") <= within
-    o = _lookup(odds, F.col("vector"))
-    one = pairs.groupBy("record").agg(
-        F.sum(o).alias("all"),
+    counted = coded.groupBy("record", "code").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.max(c).alias(c) for c in ("has_address", "has_key", "has_point")],
         F.count_if(F.col("a") == 1).alias("na"),
-        F.max(F.when(F.col("a") == 1, F.struct("target", o.alias("o")))).alias("ta"),
+        F.max(F.when(F.col("a") == 1, F.struct("target", "code"))).alias("ta"),
         F.count_if(F.col("k") == 1).alias("nk"),
-        F.max(F.when(F.col("k") == 1, F.struct("target", o.alias("o")))).alias("tk"),
-        F.min(F.when(near, F.struct("metres", "target", o.alias("o")))).alias("near_first"),
+        F.max(F.when(F.col("k") == 1, F.struct("target", "code"))).alias("tk"),
+        F.min(F.when(near, F.struct("metres", "target", "code"))).alias("near_first"),
         F.max(F.when(near, F.struct((-F.col("metres")).alias("minus"), "target"))).alias("near_last"),
     )
+    one = counted.groupBy("record").agg(
+        F.array_sort(F.collect_list(F.when(F.col("code").isNotNull(), F.struct("code", "n")))).alias("codes"),
+        *[F.coalesce(F.max(c), F.lit(False)).alias(c) for c in ("has_address", "has_key", "has_point")],
+        F.sum("na").alias("na"), F.max("ta").alias("ta"), F.sum("nk").alias("nk"), F.max("tk").alias("tk"), F.min("near_first").alias("near_first"), F.max("near_last").alias("near_last"),
+    )
     # of equally near targets the least and the greatest differ
     single = F.col("near_first").isNotNull() & (F.col("near_first.target") == F.col("near_last.target"))
     method = F.when(F.col("na") == 1, "ADDRESS").when(F.col("nk") == 1, "KEY").when(single, "PLACE")
-    pick = F.when(F.col("na") == 1, F.col("ta")).when(F.col("nk") == 1, F.col("tk")).when(single, F.struct(F.col("near_first.target").alias("target"), F.col("near_first.o").alias("o")))
-    return one.select("record", pick.alias("t"), method.alias("method"), "all").where("method is not null").select("record", "t.target", "method", (F.col("t.o") / (1 + F.col("all"))).alias("confidence"))
+    pick = F.when(F.col("na") == 1, F.col("ta")).when(F.col("nk") == 1, F.col("tk")).when(single, F.struct(F.col("near_first.target").alias("target"), F.col("near_first.code").alias("code")))
+    judged = cut(
+        one.where(F.size("codes") > 0).select(
+            "record", pick["target"].alias("target"), method.alias("method"), _vector(pick["code"]).alias("vector"), F.transform("codes", lambda x: F.struct(_vector(x.code).alias("vector"), x.n.alias("n"))).alias("profile")
+        )
+    )
+    odds = fit_mixture(judged).odds()
+    return judged.where("method is not null").select("record", "target", "method", (_lookup(odds, F.col("vector")) / _total(odds)).alias("confidence"))
