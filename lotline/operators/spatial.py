@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lotline.session import cut
+
 EARTH_M = 6_371_000.0
 #: Rows drawn from each side to place the cuts of the upper hierarchy; they shape the balance, never the result.
 SAMPLE_ROWS = 20_000
@@ -195,24 +197,26 @@ def disc_triangles(centres: DataFrame, metres: float) -> DataFrame:
     return centres.select("region", "x", "y").mapInArrow(place, f"region string, {TRIANGLE}, cx0 double, cy0 double")
 
 
-def probe_points(points: DataFrame, triangles: DataFrame, metres: float | None = None) -> DataFrame:
+def probe_points(points: DataFrame, triangles: DataFrame, metres: float | None = None, shape: tuple[int, DataFrame] | None = None) -> DataFrame:
     """(x, y, region[, metres]) for distinct points in a region; with ``metres`` only within it of the region's centre.
 
     ``points`` (x, y) are made distinct first, so a place that holds a third of all rows is probed once. Each point
     lies in one cell, each triangle goes to the cells it touches, so every pair meets in exactly one unit of work.
     Cells that the sample shows to be heavy (many regions at one place) are cut into blocks of triangles and of points.
+    ``shape`` gives the number of triangles and points (x, y) to draw their sample from, where these are known more cheaply.
     """
-    spots = points.select("x", "y").where("x is not null and y is not null and not isnan(x) and not isnan(y)").distinct()
+    spots = cut(points.select("x", "y").where("x is not null and y is not null and not isnan(x) and not isnan(y)").distinct())
     fields = ["region", *CORNERS] + (["cx0", "cy0"] if metres is not None else [])
     triangles = triangles.select(*fields)
     out = "x double, y double, region string" + (", metres double" if metres is not None else "")
     spark = points.sparkSession
 
-    n_t, n_p = triangles.count(), spots.count()
+    n_t, n_p = shape[0] if shape else triangles.count(), spots.count()
     if not n_t or not n_p:
         return spark.createDataFrame([], out)
     draw = lambda df, n: np.array([tuple(r) for r in df.sample(min(1.0, SAMPLE_ROWS / n), seed=7).limit(2 * SAMPLE_ROWS).collect()], float).reshape(-1, 2)
-    st = draw(triangles.select((F.col("ax") + F.col("bx") + F.col("cx")) / 3, (F.col("ay") + F.col("by") + F.col("cy")) / 3), n_t)
+    middles = shape[1] if shape else triangles.select((F.col("ax") + F.col("bx") + F.col("cx")) / 3, (F.col("ay") + F.col("by") + F.col("cy")) / 3)
+    st = draw(middles, n_t)
     sp = draw(spots, n_p)
     cells = int(min(4096, max(12, n_t // UNIT_TRIANGLES, n_p // UNIT_POINTS)))
     tree = CellTree(np.r_[st, sp] if len(st) + len(sp) else np.zeros((1, 2)), cells)
@@ -289,8 +293,9 @@ def near_points(points: DataFrame, places: DataFrame, metres: float) -> DataFram
     counts with its nearest. Ties all come out. Extra columns are ignored.
     """
     ok = "x is not null and y is not null and not isnan(x) and not isnan(y)"
-    centres = places.select(F.col("place").alias("region"), "x", "y").where(f"region is not null and {ok}").distinct()
-    return probe_points(points, disc_triangles(centres, metres), metres).withColumnRenamed("region", "place")
+    centres = cut(places.select(F.col("place").alias("region"), "x", "y").where(f"region is not null and {ok}").distinct())
+    shape = (4 * centres.count(), centres.select("x", "y"))  # a hexagon has four triangles
+    return probe_points(points, disc_triangles(centres, metres), metres, shape).withColumnRenamed("region", "place")
 
 
 def containing_regions(points: DataFrame, regions: DataFrame, shared_boundary: str = "first") -> DataFrame:
