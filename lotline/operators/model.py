@@ -65,10 +65,10 @@ class Buckets:
 def event_features(df: DataFrame, entity: str, when: str, as_of: DataFrame, buckets: Buckets = Buckets(), flags: dict[str, Column] | None = None) -> DataFrame:
     """Per entity: events in each bucket of age at the as-of date and, without limit of age, events with each flag.
 
-    Events after the as-of date, with NULL entity or NULL time are left out. The as-of row is one row by construction.
+    ``as_of`` is one row; it becomes a scalar subquery. Events after the as-of date, with NULL entity or NULL time are left
+    out. One pass with map-side counts; a busy entity is one row a partition in the shuffle.
     """
-    # named conditions are made columns before grouping, so that the aggregate stays one pass
-    base = df.crossJoin(F.broadcast(as_of)).withColumn("_age", F.datediff("as_of", F.to_date(when)))
+    base = df.withColumn("_age", F.datediff(as_of.select("as_of").scalar(), F.to_date(when)))
     base = base.where((F.col("_age") >= 0) & F.col(entity).isNotNull())
     aggs = [F.count_if(F.col("_age").between(lo, hi)).alias(name) for name, lo, hi in buckets.edges]
     aggs += [F.count_if(F.coalesce(c, F.lit(False))).alias(name) for name, c in (flags or {}).items()]

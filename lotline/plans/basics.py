@@ -120,8 +120,8 @@ def q10_age_days_buckets(t: Tables) -> DataFrame:
     select l_suppkey, count(*) filter (cast(l_shipdate as date) >= d - 30) as last_30, count(*) filter (cast(l_shipdate as date) >= d - 90) as last_90, count(*) filter (cast(l_shipdate as date) >= d - 365) as last_365 from lineitem, a group by 1"""
 )
 def q11_rolling_last_30_90_365(t: Tables) -> DataFrame:
-    d = t.lineitem.agg(F.max(F.to_date("l_shipdate")).alias("d"))
-    x = t.lineitem.select("l_suppkey", F.to_date("l_shipdate").alias("s")).crossJoin(F.broadcast(d))
+    d = t.lineitem.agg(F.max(F.to_date("l_shipdate"))).scalar()
+    x = t.lineitem.select("l_suppkey", F.to_date("l_shipdate").alias("s"), d.alias("d"))
     return x.groupBy("l_suppkey").agg(*[F.count_if(F.col("s") >= F.date_sub("d", n)).alias(f"last_{n}") for n in (30, 90, 365)])
 
 
@@ -261,8 +261,8 @@ def q28_priority_pick(t: Tables) -> DataFrame:
 @C.add(f"select complaint_type, count(*) as n, {sql_round('count(*) * 100.0 / sum(count(*)) over ()')} as percent from fact_311_event group by 1")
 def q29_frequency_percent(t: Tables) -> DataFrame:
     g = t.fact_311_event.groupBy("complaint_type").agg(F.count(F.lit(1)).alias("n"))
-    total = t.fact_311_event.agg(F.count(F.lit(1)).alias("total"))
-    return g.crossJoin(F.broadcast(total)).select("complaint_type", "n", N.round_half_up(F.col("n") * 100.0 / F.col("total")).alias("percent"))
+    total = t.fact_311_event.agg(F.count(F.lit(1))).scalar()
+    return g.select("complaint_type", "n", N.round_half_up(F.col("n") * 100.0 / total).alias("percent"))
 
 
 @C.add("select p_partkey, p_retailprice from part order by p_retailprice desc, p_partkey limit 20")
