@@ -22,6 +22,7 @@ SEPARATOR = re.compile(r"\s[|>»/•·–—-]\s")
 GAP = re.compile(r"\S {2,}\S")
 MARKUP = re.compile(r"</?[a-zA-Z][^<>]{0,200}>|&[a-z]{2,6};|\{[^{}]{0,400}\}")
 MOJIBAKE = re.compile("[\u0080-\u009fÃÂÐÑâ-éï\ufffd][\u0080-¿\ufffd‘-„†-‰€ŠšŒœŽžƒˆ˜]")
+PAIRED = re.compile(r"(?:[b-df-hj-np-tv-z][aeiou])+")
 WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 PLAIN_SIGNS = ".,;:!?'\"()¿¡。，！？、；：“”‘’«»-"
 BLANKS = re.compile(r"\s+")
@@ -29,7 +30,7 @@ DELIMITERS = {"pipe": "|", "tab": "\t", "semi": ";", "comma": ","}
 COUNTS = ["n_lines", "n_words", "n_tokens_ws", "n_solid", "longest_token", "inline_bullets", "separators", "sentence_ends", "common_words", "distinct_common", "han_common", "hans", *[f"{d}_fields" for d in DELIMITERS]]
 SHARES = [
     "letter_share", "digit_share", "symbol_share", "han_share", "mojibake_share", "replacement_share", "tag_share", "mean_word_length", "mean_line_words", "mean_token", "ended_line_share", "bullet_line_share", "short_line_share",
-    "gapped_line_share", "distinct_word_share", "common_share", "han_common_share", *[f"{d}_regular" for d in DELIMITERS],
+    "gapped_line_share", "distinct_word_share", "common_share", "paired_share", "han_common_share", *[f"{d}_regular" for d in DELIMITERS],
 ]
 #: Words of a text are compared with at most this many common words; the table is a small fixed list.
 MAX_COMMON_WORDS = 20_000
@@ -105,7 +106,7 @@ def describe(text: str | None, words: frozenset[str], han: frozenset[str], class
     shares = [
         share(letters, solid), share(int(kinds[2]), solid), share(int(kinds[4] + kinds[20]), solid), share(hans, solid), 0.0 if plain else share(len(MOJIBAKE.findall(t)), solid), share(int(kinds[16:].sum()), solid), share(tag, solid),
         share(sum(map(len, found)), n_words), n_tokens / n_lines, solid / n_tokens, sum(bool(SENTENCE_END.search(x)) for x in lines) / n_lines, sum(bool(BULLET.match(x)) for x in lines) / n_lines, sum(w <= 9 for w in widths) / n_lines,
-        sum(bool(GAP.search(x)) for x in lines) / n_lines, share(len(set(found)), n_words), share(len(common), n_words), share(han_common, hans), *[r for _, r in fields],
+        sum(bool(GAP.search(x)) for x in lines) / n_lines, share(len(set(found)), n_words), share(len(common), n_words), share(sum(bool(PAIRED.fullmatch(w)) for w in found), n_words), share(han_common, hans), *[r for _, r in fields],
     ]
     return counts + shares
 
@@ -147,11 +148,12 @@ def rules() -> dict[str, dict[str, Column]]:
             "symbols": (c("symbol_share") >= 0.25) & ~regular & (c("letter_share") < 0.6) & (c("separators") * 8 < c("n_tokens_ws")),
             "few_letters": (c("letter_share") < 0.6) & (c("n_lines") < 4) & ~entries & spaced,
             "no_common_words": ~regular & spaced & ~entries & (((c("n_words") >= 20) & (c("common_share") < 0.12) & (c("mean_line_words") >= 9)) | ((c("n_words") >= 5) & (c("common_words") == 0) & (c("n_lines") <= 2))),
+            "filler_syllables": (c("n_words") >= 6) & (c("paired_share") >= 0.85) & (c("common_share") < 0.3) & spaced & ~entries,
             "repeated_words": (c("n_words") >= 6) & (c("distinct_word_share") < 0.2) & (c("n_lines") <= 2) & ~entries & (c("distinct_common") <= 2) & spaced,
         },
         "table": {
             "regular_fields": regular,
-            "aligned_columns": (c("gapped_line_share") >= 0.6) & (c("n_lines") >= 4) & (c("ended_line_share") < 0.5) & (c("common_share") < 0.25),
+            "aligned_columns": (c("gapped_line_share") >= 0.6) & (c("n_lines") >= 4) & (c("ended_line_share") < 0.5) & ((c("common_share") < 0.25) | (c("distinct_common") < 0.4 * c("n_lines"))),
             "figures": (c("letter_share") < 0.72) & (c("n_lines") >= 4) & spaced,
         },
         "list": {
