@@ -167,7 +167,7 @@ def rules() -> dict[str, dict[str, Column]]:
 def judge(stats: DataFrame) -> DataFrame:
     """``stats`` plus kind (prose, list, table, junk, blank) and reasons, the rules the text failed.
 
-    NULL, empty and blank texts are blank, with no reasons.
+    NULL, empty and blank texts are blank, with no reasons. Columns of these names are replaced.
     """
     some = F.col("n_solid") > 0
     table = rules()

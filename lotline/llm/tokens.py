@@ -245,10 +245,10 @@ def encode_documents(df: DataFrame, key: str, text: str, path: str) -> DataFrame
 
 
 def count_tokens(df: DataFrame, text: str, path: str) -> DataFrame:
-    """``df`` without ``text``, plus n_tokens int; NULL and empty texts count 0."""
+    """``df`` without ``text``, plus n_tokens int (a column of that name is replaced); NULL and empty texts count 0."""
     from pyspark.sql.types import IntegerType, StructField, StructType
 
-    keep = [c for c in df.columns if c != text]
+    keep = [c for c in df.columns if c not in (text, "n_tokens")]
     schema = StructType([*(df.schema[c] for c in keep), StructField("n_tokens", IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
