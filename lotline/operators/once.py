@@ -92,11 +92,15 @@ def repeated_messages(messages: DataFrame) -> DataFrame:
 
 
 def keep_one(df: DataFrame, key: Column, newest: list[Column]) -> DataFrame:
-    """One row for each non-NULL key: the greatest by ``newest``, ties by the whole row. Map-side combined."""
+    """One row for each non-NULL key: the greatest by ``newest`` (NULL least), ties by the whole row.
+
+    An aggregate of one struct a row, combined before the shuffle, so that a key of many copies moves once a partition.
+    Columns must be orderable. Repeated rows give one; an empty input gives an empty result.
+    """
     cols = df.columns
-    order = F.struct(*newest, *[F.col(f"`{c}`") for c in cols])
-    picked = df.select(key.alias("_key"), order.alias("_o"), F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row")).where("_key is not null").groupBy("_key").agg(F.max_by("_row", "_o").alias("_row"))
-    return picked.select("_row.*")
+    order = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(newest)], *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(cols)])
+    best = df.select(key.alias("k"), order.alias("o")).where("k is not null").groupBy("k").agg(F.max("o").alias("o"))
+    return best.select(*[F.col(f"o.c{i}").alias(c) for i, c in enumerate(cols)])
 
 
 def accept_new(batch: DataFrame, seen: DataFrame, odd: DataFrame, newest: list[Column]) -> tuple[DataFrame, DataFrame]:

@@ -64,6 +64,30 @@ def cascade_by_priority(df: DataFrame, key: str, stages: list[Stage], target: st
     )
 
 
+def lookup_cascade(df: DataFrame, key: str, lookups: list[tuple[str, list[str], DataFrame]], target: str = "target", confidence: str = "HIGH") -> DataFrame:
+    """As ``run_cascade``, where each stage is a lookup (method, columns, frame with the columns and a unique target).
+
+    One left join a stage, no anti-joins, unions or joining back; small lookups are broadcast if their measured size
+    allows. Rows with a NULL column get a value of their own that matches nothing, so that missing keys spread evenly.
+    """
+    names = []
+    for i, (_, cols, lookup) in enumerate(lookups):
+        keys = [f"_k{i}_{j}" for j in range(len(cols))]
+        none = F.concat(F.lit("\u0000"), F.xxhash64(key).cast("string"))
+        missing = F.lit(False)
+        for c in cols:
+            missing = missing | F.col(c).isNull()
+        df = df.withColumns({k: F.when(missing, none).otherwise(F.col(c).cast("string")) if j == 0 else F.coalesce(F.col(c).cast("string"), F.lit("")) for j, (k, c) in enumerate(zip(keys, cols, strict=True))})
+        right = lookup.select(*[F.col(c).cast("string").alias(k) for c, k in zip(cols, keys, strict=True)], F.col(target).alias(f"_t{i}"))
+        df = df.join(right, keys, "left")
+        names.append(f"_t{i}")
+    method = F.lit("UNRESOLVED")
+    for i in reversed(range(len(lookups))):
+        method = F.when(F.col(f"_t{i}").isNotNull(), lookups[i][0]).otherwise(method)
+    hit = F.coalesce(*names)
+    return df.select(key, hit.alias(target), method.alias("method"), F.when(hit.isNotNull(), confidence).otherwise("NONE").alias("confidence"), F.when(hit.isNotNull(), "RESOLVED").otherwise("UNRESOLVED").alias("status"))
+
+
 def pick_by_priority(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     """The first row of each key."""
     w = Window.partitionBy(key).orderBy(*order)

@@ -59,14 +59,24 @@ def daily_counts(sources: list[tuple[DataFrame, str, Column]]) -> DataFrame:
     return both.where(not_blank(F.col("entity")) & F.col("day").isNotNull()).groupBy("entity", "day").agg(F.count(F.lit(1)).alias("n"))
 
 
+def last_day(sources: list[tuple[DataFrame, str, Column]]) -> int | None:
+    """The last day found in any source, whatever its entity; reads the time columns only."""
+    days = [df.agg(F.max(F.unix_date(F.to_date(when))).alias("day")) for df, _, when in sources]
+    both = days[0]
+    for d in days[1:]:
+        both = both.unionByName(d)
+    return both.agg(F.max("day")).first()[0]
+
+
 def trailing_totals(
     daily: DataFrame,
     windows: tuple[int, ...] = (7, 30),
     keep: Callable[[dict[int, np.ndarray]], np.ndarray] | None = None,
     shard_days: int = SHARD_DAYS,
     entities_per_group: int = 2048,
+    until: int | None = None,
 ) -> DataFrame:
-    """(entity, day, total_w..., avg_w...) for every day from an entity's first event to the last day of all.
+    """(entity, day, total_w..., avg_w...) for every day from an entity's first event to ``until``, else the last of ``daily``.
 
     ``daily`` has entity string, day int (days since 1970), n; repeated (entity, day) rows add up. Rows go to
     (bucket of entities, time shard) groups; a shard also gets the days before it that its windows reach, so shards
@@ -80,7 +90,7 @@ def trailing_totals(
     schema = "entity string, day int, " + ", ".join([f"total_{w} bigint" for w in windows] + [f"avg_{w} double" for w in windows])
     if top[0] is None:
         return spark.createDataFrame([], schema)
-    end, buckets = int(top[0]), max(8, -(-int(top[1]) // entities_per_group))
+    end, buckets = max(int(top[0]), until or 0), max(8, -(-int(top[1]) // entities_per_group))
     last_shard = end // shard_days
 
     shard = F.floor(F.col("day") / shard_days).cast("int")

@@ -12,7 +12,7 @@ from lotline.operators.once import keep_one, repeated_messages
 from lotline.operators.orphans import orphan_references, orphan_report
 from lotline.operators.snapshots import snapshot_changes
 from lotline.operators.spatial import near_points
-from lotline.operators.trailing import daily_counts, trailing_totals
+from lotline.operators.trailing import daily_counts, last_day, trailing_totals
 from lotline.session import table
 
 NEAR_M = 25.0
@@ -63,14 +63,13 @@ def p3_report(spark: SparkSession, d: str) -> DataFrame:
     return orphan_report(_orphans(spark, d), known, CURRENT_VERSION)
 
 
-def _daily(spark: SparkSession, d: str) -> DataFrame:
-    return daily_counts(
-        [
-            (table(spark, d, "fact_311_event"), "building_id", F.col("created_date")),
-            (table(spark, d, "fact_hpd_violation"), "building_id", F.col("inspectiondate")),
-            (table(spark, d, "fact_dob_violation"), "building_id", F.col("violation_issue_date")),
-        ]
-    )
+def _trailing(spark: SparkSession, d: str, keep=None) -> DataFrame:
+    events = [
+        (table(spark, d, "fact_311_event"), "building_id", F.col("created_date")),
+        (table(spark, d, "fact_hpd_violation"), "building_id", F.col("inspectiondate")),
+        (table(spark, d, "fact_dob_violation"), "building_id", F.col("violation_issue_date")),
+    ]
+    return trailing_totals(daily_counts(events), (7, 30), keep, until=last_day(events))
 
 
 def _day(c: str = "day"):
@@ -79,11 +78,11 @@ def _day(c: str = "day"):
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     burst = lambda t: (t[7] >= 4) & (t[30] <= 20) & (15 * t[7] >= 7 * t[30])  # noqa: E731  7-day mean at least twice the 30-day mean
-    return trailing_totals(_daily(spark, d), (7, 30), burst).select(F.col("entity").alias("building_id"), _day().alias("on_day"))
+    return _trailing(spark, d, burst).select(F.col("entity").alias("building_id"), _day().alias("on_day"))
 
 
 def p5_trailing(spark: SparkSession, d: str) -> DataFrame:
-    return trailing_totals(_daily(spark, d), (7, 30)).select(F.col("entity").alias("building_id"), _day().alias("on_day"), "total_7", "total_30", "avg_7", "avg_30")
+    return _trailing(spark, d).select(F.col("entity").alias("building_id"), _day().alias("on_day"), "total_7", "total_30", "avg_7", "avg_30")
 
 
 def _messages(spark: SparkSession, d: str) -> DataFrame:
@@ -151,7 +150,7 @@ def oracle_sql() -> dict[str, str]:
       with e as (select building_id, cast(created_date as date) as dd from fact_311_event union all select building_id, cast(inspectiondate as date) from fact_hpd_violation union all select building_id, cast(violation_issue_date as date) from fact_dob_violation),
       dc as (select building_id, dd, count(*) as n from e where regexp_matches(building_id, '\\S') and dd is not null group by 1, 2),
       f as (select building_id, min(dd) as first_day from dc group by 1),
-      s as (select building_id, cast(unnest(generate_series(first_day::timestamp, (select max(dd) from dc)::timestamp, interval 1 day)) as date) as dd from f),
+      s as (select building_id, cast(unnest(generate_series(first_day::timestamp, (select max(dd) from e)::timestamp, interval 1 day)) as date) as dd from f),
       w as (select s.building_id, s.dd, cast(sum(coalesce(n, 0)) over (partition by s.building_id order by s.dd rows 6 preceding) as bigint) as total_7, cast(sum(coalesce(n, 0)) over (partition by s.building_id order by s.dd rows 29 preceding) as bigint) as total_30 from s left join dc on dc.building_id = s.building_id and dc.dd = s.dd)"""
     msgs = f"with m as (select 'nyc_311' as source_table, {sql_message_key('unique_key')} as message_id, run_id, strftime(ingested_at, '%Y-%m-%d %H:%M:%S') as ingested_at from nyc_311 union all select 'hpd', {sql_message_key('violationid')}, run_id, strftime(ingested_at, '%Y-%m-%d %H:%M:%S') from hpd)"
     changes = f"""

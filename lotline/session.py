@@ -26,6 +26,19 @@ def get_spark(app: str = "lotline", master: str | None = None, **conf: str) -> S
     return b.getOrCreate()
 
 
+def sizing(input_gb: float, cores: int, memory_gb_per_core: float = 4.0) -> dict[str, str]:
+    """Settings for an input of that size: shuffle partitions of about 128 MB and at least two a core, scans of 128 MB
+    (256 MB beyond 10 TB, to keep task counts down), skew splitting from 256 MB, broadcasts up to 1 % of an executor core's memory."""
+    partitions = max(2 * cores, round(input_gb * 1024 / 128))
+    return {
+        "spark.sql.shuffle.partitions": str(min(partitions, 200_000)),
+        "spark.sql.files.maxPartitionBytes": "256m" if input_gb > 10_240 else "128m",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+        "spark.sql.autoBroadcastJoinThreshold": f"{max(10, round(memory_gb_per_core * 10.24))}m",
+    }
+
+
 _shipped: set[str] = set()
 
 

@@ -111,3 +111,13 @@ def test_similarity_and_fuzzy(spark):
     assert [r[0] for r in df.select(R.street_similarity("a", "b")).collect()] == [0.75, None]
     q = spark.createDataFrame([("MAIN ST", "MAINN ST"), ("MAIN ST", "MAIN RD"), ("A ST", "B ST")], "q string, d string")
     assert [r[0] for r in q.select(T.fuzzy_tokens_match(F.col("q"), F.col("d"))).collect()] == [True, False, False]
+
+
+def test_lookup_cascade(spark):
+    rows = [("1", "a", "x"), ("2", None, "x"), ("3", "b", None), ("4", None, None), ("5", "q", "z")]
+    df = spark.createDataFrame(rows, "id string, a string, b string")
+    first = spark.createDataFrame([("a", "T1")], "a string, target string")
+    second = spark.createDataFrame([("b", "x", "no"), ("q", "z", "T2")], "a string, b string, target string")
+    third = spark.createDataFrame([("x", "T3")], "b string, target string")
+    got = {r.id: (r.target, r.method) for r in R.lookup_cascade(df, "id", [("A", ["a"], first), ("AB", ["a", "b"], second), ("B", ["b"], third)]).collect()}
+    assert got == {"1": ("T1", "A"), "2": ("T3", "B"), "3": (None, "UNRESOLVED"), "4": (None, "UNRESOLVED"), "5": ("T2", "AB")}
