@@ -9,6 +9,7 @@ triangles are tested exactly and assignments that several triangles or regions s
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -224,30 +225,37 @@ def probe_points(points: DataFrame, triangles: DataFrame, metres: float | None =
     t_blocks = np.maximum(1, np.ceil(share(st, n_t) / (4 * UNIT_TRIANGLES))).astype(int)
     p_blocks = np.maximum(1, np.ceil(share(sp, n_p) / (4 * UNIT_POINTS))).astype(int)
 
-    def send(cell: np.ndarray, own: np.ndarray, other: np.ndarray, block: np.ndarray, width: int):
-        """Row numbers and units: a row goes to its own block of the cell, once for each block of the other side."""
+    def send(cell: np.ndarray, own: np.ndarray, other: np.ndarray, mark: np.ndarray):
+        """Row numbers and units: a row goes to its own block of the cell, once for each block of the other side.
+
+        ``mark`` comes from the row's content alone, so a task that runs again sends it to the same units.
+        """
         reps = other[cell]
         row = np.repeat(np.arange(cell.size), reps)
         k = np.arange(row.size) - np.repeat(np.cumsum(reps) - reps, reps)
-        return row, cell[row], (block[row] % own[cell[row]]), k
+        return row, cell[row], (mark[row] % own[cell[row]]), k
 
     def cut_triangles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for i, b in enumerate(batches):
+        for b in batches:
             a = _numpy(b, CORNERS)
             x, y = a[:, 0::2], a[:, 1::2]
             if not len(a):
                 continue
             box, cell = tree.of_boxes(np.c_[x.min(1), y.min(1)], np.c_[x.max(1), y.max(1)])
-            row, cell, own, other = send(cell, t_blocks, p_blocks, box + 31 * i, 0)
+            mark = np.zeros(len(a), np.int64)
+            if (t_blocks > 1).any():
+                mark = np.array([zlib.crc32(r.encode()) for r in b.column("region").to_pylist()], np.int64)
+            row, cell, own, other = send(cell, t_blocks, p_blocks, mark[box])
             yield pa.RecordBatch.from_arrays([*b.take(pa.array(box[row])).columns, pa.array(cell), pa.array(own), pa.array(other)], names=[*fields, "cell", "tb", "pb"])
 
     def cut_points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for i, b in enumerate(batches):
+        for b in batches:
             xy = _numpy(b, ["x", "y"])
             if not len(xy):
                 continue
             cell = tree.of_points(xy)
-            row, cell, own, other = send(cell, p_blocks, t_blocks, np.arange(len(xy)) + 31 * i, 0)
+            bits = xy.copy().view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            row, cell, own, other = send(cell, p_blocks, t_blocks, ((bits[:, 0] ^ (bits[:, 1] >> np.uint64(7))) >> np.uint64(40)).astype(np.int64))
             yield pa.RecordBatch.from_arrays([*b.take(pa.array(row)).columns, pa.array(cell), pa.array(other), pa.array(own)], names=["x", "y", "cell", "tb", "pb"])
 
     def meet(pts: pa.Table, tris: pa.Table) -> pa.Table:

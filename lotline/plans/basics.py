@@ -126,10 +126,10 @@ def q11_rolling_last_30_90_365(t: Tables) -> DataFrame:
 
 
 @C.add(
-    "select least((select max(cast(created_date as date)) from fact_311_event), (select max(cast(inspectiondate as date)) from fact_hpd_violation), (select max(cast(violation_issue_date as date)) from fact_dob_violation)) as as_of"
+    "select strftime(least((select max(cast(created_date as date)) from fact_311_event), (select max(cast(inspectiondate as date)) from fact_hpd_violation), (select max(cast(violation_issue_date as date)) from fact_dob_violation)), '%Y-%m-%d') as as_of"
 )
 def q12_as_of_common_date(t: Tables) -> DataFrame:
-    return as_of_date([(t.fact_311_event, "created_date"), (t.fact_hpd_violation, "inspectiondate"), (t.fact_dob_violation, "violation_issue_date")])
+    return as_of_date([(t.fact_311_event, "created_date"), (t.fact_hpd_violation, "inspectiondate"), (t.fact_dob_violation, "violation_issue_date")]).select(F.date_format("as_of", "yyyy-MM-dd").alias("as_of"))
 
 
 @C.add(

@@ -68,6 +68,6 @@ def cut(df: DataFrame) -> DataFrame:
     a temporary one is made.
     """
     sc = df.sparkSession.sparkContext
-    if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="lotline-ckpt-"))
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lotline-ckpt-"))
     return df.checkpoint(eager=True)
