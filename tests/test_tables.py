@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lotline.operators.orphans import missing_keys, orphan_references, orphan_report
 from lotline.operators.snapshots import snapshot_changes
-from lotline.operators.trailing import SegmentForest, correct_nodes, daily_counts, trailing_totals, tree_nodes
+from lotline.operators.trailing import SegmentForest, correct_nodes, daily_counts, last_day, trailing_totals, tree_nodes
 
 
 def test_missing_keys(spark):
@@ -63,10 +63,19 @@ def test_trailing(spark):
             want[e, d] = (t7, t30, t7 / 7)
     assert got == want
     assert trailing_totals(daily.limit(0)).count() == 0
+    later = trailing_totals(daily, shard_days=64, until=end + 70).where(F.col("day") > end)
+    assert later.count() == 70 * len({e for e, _ in n})
+    assert later.where(F.col("day") > end + 30).agg(F.sum("total_30")).first()[0] == 0
     wide = {(r.entity, r.day): r.total_200 for r in trailing_totals(daily, (200,), shard_days=64).collect()}
     assert wide["hot", end] == sum(n["hot", x] for x in range(end - 199, end + 1))
 
 
+def test_last_day_counts_every_row(spark):
+    df = spark.createDataFrame([("a", 5), (None, 9), (" ", 7), ("a", None)], "e string, d int").withColumn("at", F.date_from_unix_date("d"))
+    assert last_day([(df, "e", F.col("at")), (df.limit(0), "e", F.col("at"))]) == 9
+    assert last_day([(df.limit(0), "e", F.col("at"))]) is None
+
+
 def test_late_corrections(spark):
     a = spark.createDataFrame([("x", 5, 2), ("x", 200, 1), ("y", 7, 4)], "entity string, day int, n int")
     b = spark.createDataFrame([("x", 5, 3), ("z", 1, 1)], "entity string, day int, n int")
