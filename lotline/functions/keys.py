@@ -10,11 +10,12 @@ LOT_PATTERN = "^[1-5][0-9]{9}$"
 
 def squeeze_ends(c: Column) -> Column:
     """Trim any white space (tabs and line ends too), which ``trim`` leaves."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.btrim(c, F.lit(" \t\n\r\x0b\x0c"))
 
 
 def strip_zero_decimals(c: Column) -> Column:
-    return F.regexp_replace(c, r"\.0*$", "")
+    """Without a decimal point that only zeros follow; texts without a point skip the pattern."""
+    return F.when(F.contains(c, F.lit(".")), F.regexp_replace(c, r"\.0*$", "")).otherwise(c)
 
 
 def message_key(c: Column) -> Column:
@@ -24,8 +25,8 @@ def message_key(c: Column) -> Column:
     is no number comes back trimmed, so that it can still be compared exactly.
     """
     t = squeeze_ends(c)
-    plain = F.regexp_extract(t, r"^0*([0-9]+?)(\.0*)?$", 1)
-    return F.when(plain != "", plain).otherwise(F.nullif(t, F.lit("")))
+    number = strip_zero_decimals(t)
+    return F.when(number.rlike("^[0-9]+$"), F.coalesce(F.nullif(F.ltrim(number, F.lit("0")), F.lit("")), F.lit("0"))).otherwise(F.nullif(t, F.lit("")))
 
 
 def is_sequence_key(key: Column) -> Column:
