@@ -238,7 +238,7 @@ def borough_code(*names: Column) -> Column:
     """1 to 5 from names, codes or two-letter forms, the first that is known; else NULL."""
     found = []
     for c in names:
-        u = F.upper(F.trim(F.regexp_replace(c, r"\s+", " ")))
+        u = F.upper(F.btrim(c, F.lit(" \t\n\r")))
         found.append(F.when(u.isin("1", "MANHATTAN", "MN", "NEW YORK"), "1").when(u.isin("2", "BRONX", "BX"), "2").when(u.isin("3", "BROOKLYN", "BK"), "3").when(u.isin("4", "QUEENS", "QN"), "4").when(u.isin("5", "STATEN ISLAND", "SI"), "5"))
     return F.coalesce(*found)
 

@@ -143,9 +143,9 @@ def link_addresses(lines: DataFrame) -> DataFrame:
     them has its house number.
     """
     ok = lines.where("id is not null and borough is not null and house is not null and street <> ''").select("side", "id", "borough", "house", "street")
-    ok = cut(ok.distinct())
+    ok = cut(ok)  # repeated rows are counted together below, before they move
     targets = ok.where("side <> 'record'").groupBy("borough", "street").agg(F.count_distinct("id").alias("n"))
-    texts = ok.groupBy("borough", "street").agg(F.count(F.lit(1)).alias("n"))
+    texts = ok.groupBy("borough", "street").agg(F.count(F.lit(1)).alias("n"))  # weights of the estimation only
     links = cut(link_streets(texts, targets))
     placed = ok.join(links, ["borough", "street"])
     left = placed.where("side = 'record'").select(F.col("id").alias("record_id"), "street_id", "house", "probability", "ties")

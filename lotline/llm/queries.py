@@ -25,7 +25,7 @@ IN_CITY = "latitude between 40 and 41 and longitude between -75 and -73"
 def _with_borough(df: DataFrame, zips: DataFrame, named: Column, zipcode: str, line: str, ident: Column, side: str) -> DataFrame:
     """Address rows for the linker; the postcode tells the borough where it is missing."""
     z = F.regexp_extract(zipcode, "^\\s*([0-9]{5})", 1)
-    rows = df.select(F.lit(side).alias("side"), ident.alias("id"), named.alias("b"), z.alias("zip"), F.col(line).alias("line")).where("id is not null and line is not null").distinct()
+    rows = df.select(F.lit(side).alias("side"), ident.alias("id"), named.alias("b"), z.alias("zip"), F.col(line).alias("line")).where("id is not null and line is not null")
     return rows.join(F.broadcast(zips), "zip", "left").select("side", "id", F.coalesce("b", "zip_borough").alias("borough"), "line")
 
 
