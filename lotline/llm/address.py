@@ -57,6 +57,8 @@ PREFIXES = {
     "TENTH": "10TH",
 }
 BOROUGHS = {"1": "MANHATTAN MN NEW YORK", "2": "BRONX BX", "3": "BROOKLYN BK", "4": "QUEENS QN", "5": "STATEN ISLAND SI"}
+#: Shortened words that are also the ends of names (-minster, -haven), where these were written apart.
+NAME_ENDS = ("TER", "AVEN")
 #: Digits typed for letters.
 LOOKS_LIKE = str.maketrans("013458", "OIEASB")
 
@@ -205,7 +207,7 @@ def street_forms(street: str) -> tuple[tuple[str, str, str], ...]:
         out.append(read(False, None))
     for at in range(1, len(words)):  # the end of a name may stand apart and look like a word of its own
         k = kinds[at]
-        more = any(o is not None and o[0] == "suf" and i != at for i, o in enumerate(kinds))
+        more = words[at] in NAME_ENDS or any(o is not None and o[0] in ("suf", "st") and i != at for i, o in enumerate(kinds))
         if kinds[at - 1] is None and not slips[at - 1] and k is not None and len(words[at]) <= 4 and (k[0] == "pre" or k[0] == "suf" and more):
             out.append(read(True, None, at))
     return tuple(dict.fromkeys(f for f in out if len(f[0]) >= 2))
