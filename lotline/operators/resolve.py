@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from lotline.functions.numbers import haversine
+from lotline.functions.text import allowed_edits, fuzzy_tokens_match, token_pieces, token_probes
 
 
 def unique_target(df: DataFrame, keys: list[str], target: str) -> DataFrame:
@@ -123,6 +124,24 @@ def geo_method(candidates: Column, nearest: Column, second: Column, unique_m: fl
     return F.when((candidates == 1) & (nearest <= unique_m), "GEO_UNIQUE").when((nearest <= dominant_m) & (second - nearest >= gap_m), "GEO_DOMINANT")
 
 
+def fuzzy_pairs(queries: DataFrame, docs: DataFrame, on: str) -> DataFrame:
+    """(query, street, on) for texts (query, on) and (street, on), both distinct, with ``fuzzy_tokens_match`` and equal ``on``.
+
+    Distinct tokens are compared by keys that lose no pair; each query then meets the streets near the one of its tokens
+    that has the fewest, and is checked whole. NULLs have no partner.
+    """
+    words = docs.select(on, "street", F.explode(F.array_distinct(F.split("street", " "))).alias("word"))
+    tokens = queries.select(on, "query", F.explode(F.array_distinct(F.split("query", " "))).alias("token"))
+    have = words.groupBy(on, "word").agg(F.count(F.lit(1)).alias("streets")).select(on, "word", "streets", F.explode(F.array_distinct(token_pieces(F.col("word")))).alias("key"))
+    ask = tokens.select(on, "token").distinct().select(on, "token", F.explode(token_probes(F.col("token"))).alias("key"))
+    near = ask.join(have, [on, "key"]).where(F.levenshtein("token", "word") <= allowed_edits(F.col("token"))).select(on, "token", "word", "streets").distinct()
+    reach = near.groupBy(on, "token").agg(F.sum("streets").alias("reach"), F.collect_list("word").alias("words"))
+    # a token near no word leaves its query without a partner whichever token is taken
+    rarest = tokens.join(reach, [on, "token"]).groupBy(on, "query").agg(F.min_by("words", F.struct("reach", "token")).alias("words"))
+    met = rarest.select(on, "query", F.explode("words").alias("word")).join(words, [on, "word"]).select("query", "street", on).distinct()
+    return met.where(fuzzy_tokens_match(F.col("query"), F.col("street")))
+
+
 @F.pandas_udf(DoubleType())
 def street_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Matching-blocks ratio of two texts, in Arrow batches; NULL if either is."""

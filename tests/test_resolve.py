@@ -121,3 +121,50 @@ def test_lookup_cascade(spark):
     third = spark.createDataFrame([("x", "T3")], "b string, target string")
     got = {r.id: (r.target, r.method) for r in R.lookup_cascade(df, "id", [("A", ["a"], first), ("AB", ["a", "b"], second), ("B", ["b"], third)]).collect()}
     assert got == {"1": ("T1", "A"), "2": ("T3", "B"), "3": (None, "UNRESOLVED"), "4": (None, "UNRESOLVED"), "5": ("T2", "AB")}
+
+
+def brute_fuzzy(queries, docs):
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    near = lambda q, d: edits(q, d) <= (0 if len(q) <= 2 else 1 if len(q) <= 5 else 2)
+    return {(q, d, b) for q, b in queries for d, c in docs if b is not None and b == c and all(any(near(x, y) for y in d.split(" ")) for x in q.split(" "))}
+
+
+def test_fuzzy_pairs_lose_nothing(spark):
+    import random
+
+    rng = random.Random(5)
+    words = ["".join(rng.choice("ABC") for _ in range(n)) for n in (1, 2, 3, 3, 4, 5, 6, 6, 7, 8, 9, 12, 60) for _ in range(4)]
+
+    def slip(w):
+        for _ in range(rng.randint(0, 3)):
+            i = rng.randrange(len(w) + 1)
+            w = rng.choice([w[:i] + w[i + 1 :], w[:i] + "Z" + w[i + 1 :], w[:i] + "Q" + w[i:]])
+        return w or "A"
+
+    docs = {(" ".join(rng.choice(words) for _ in range(rng.randint(1, 3))), rng.choice("xy")) for _ in range(150)} | {("", "x"), ("ABC", None)}
+    queries = {(" ".join(slip(w) for w in rng.sample(d.split(" "), rng.randint(1, d.count(" ") + 1))), b) for d, b in list(docs) * 2}
+    a, b = spark.createDataFrame(sorted(queries, key=str), "query string, boro string"), spark.createDataFrame(sorted(docs, key=str), "street string, boro string")
+    got = [tuple(r) for r in R.fuzzy_pairs(a, b, "boro").select("query", "street", "boro").collect()]
+    want = brute_fuzzy(queries, docs)
+    assert len(want) > 200
+    assert len({p for p in want if p[0][:3] != p[1][:3]}) > 50
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_fuzzy_match_of_streets_beyond_their_first_letters(spark, tmp_path):
+    from lotline.plans import catalog
+
+    lots = [("12 OAKFIELD STREET", "BRONX"), ("3 OLD OAKFIELD STREET", "BX"), ("4 BIRCH AVENUE", "BRONX"), ("5 OAKFIELD STREET", "QUEENS"), (None, "BRONX")]
+    here = [("7 AOKFIELD STREET", "BRONX"), ("8 STREET OAKFIELD", "BRONX"), ("9 BIRCH AVENUE", "BRONX"), (None, "BRONX")]
+    spark.createDataFrame(lots, "property_address string, borough string").write.parquet(str(tmp_path / "dim_property.parquet"))
+    spark.createDataFrame(here, "current_address string, borough string").write.parquet(str(tmp_path / "building_identity.parquet"))
+    got = {(r["query"], r.street, r.boro) for r in catalog.queries()["q42b_fuzzy_token_match"](spark, str(tmp_path)).collect()}
+    oaks = {(q, s, "BRONX") for q in ("AOKFIELD ST", "ST OAKFIELD") for s in ("OAKFIELD ST", "OLD OAKFIELD ST")}
+    assert got == oaks | {("BIRCH AVE", "BIRCH AVE", "BRONX")}
