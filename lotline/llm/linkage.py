@@ -19,6 +19,8 @@ from lotline.session import cut
 #: Levels of agreement: name 3 equal, 2 one slip, 1 two slips; parts 2 equal, 1 missing on one side, 0 different.
 LEVELS = {"name": 4, "pre": 3, "suf": 3}
 MIN_PROBABILITY = 0.5
+#: So many house numbers, or this share of the other street's bearers, may have a street's name with the same part missing or the same slip.
+MISSING, SLIPS, ACCIDENT_SHARE = 3, 5, 0.01
 
 
 def estimate_weights(patterns: dict[tuple[int, int, int], float], rounds: int = 60, prior: float = 1.0) -> tuple[dict[tuple[int, int, int], float], dict[tuple[int, int, int], float]]:
@@ -77,33 +79,37 @@ def near_names(names: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def known_streets(lots: DataFrame) -> DataFrame:
-    """(borough, core, pre, suf, support): the readings of lot streets (borough, street, n) that stand for a street.
+    """(borough, core, pre, suf, support): the readings of lot streets (borough, street, n, houses) that stand for a street.
 
-    A reading gives way to one that many more lots bear and that differs by slips only, or that has the suffix it lacks.
+    A reading gives way to one that has the suffix it lacks, or, if no more bear it than the same accident may befall, to
+    one that many more bear and that differs by slips or a missing part only. Different prefixes or suffixes make
+    different streets however few bear them. House numbers are counted for that, each once: one slip may befall all
+    things at a number, and stand before more than one way of writing the suffix.
     """
     parts = ["borough", "core", "pre", "suf"]
     read = cut(forms_of(lots))
     first = read.where("rank = 0").groupBy(*parts).agg(F.sum("n").alias("bearers"))
     # of several readings of a text the one that most lots bear counts
-    picked = read.join(first, parts, "left").groupBy("borough", "street", "n").agg(F.max_by(F.struct("core", "pre", "suf", "blocks"), F.struct(F.coalesce("bearers", F.lit(0)), -F.col("rank"))).alias("f")).select("borough", "n", "f.*")
-    forms = cut(picked.groupBy(*parts).agg(F.sum("n").alias("support"), F.first("blocks").alias("blocks")))
+    picked = read.join(first, parts, "left").groupBy("borough", "street", "n").agg(F.max_by(F.struct("core", "pre", "suf", "blocks", "houses"), F.struct(F.coalesce("bearers", F.lit(0)), -F.col("rank"))).alias("f")).select("borough", "n", "f.*")
+    forms = cut(picked.groupBy(*parts).agg(F.sum("n").alias("support"), F.first("blocks").alias("blocks"), F.size(F.array_distinct(F.flatten(F.collect_list("houses")))).alias("numbers")))
     a = forms.select("borough", F.col("core").alias("c1"), F.col("pre").alias("p1"), F.col("suf").alias("s1"), F.col("support").alias("n1"), F.explode("blocks").alias("block"))
-    b = forms.select("borough", "core", "pre", "suf", "support", F.explode("blocks").alias("block"))
+    b = forms.select("borough", "core", "pre", "suf", "support", "numbers", F.explode("blocks").alias("block"))
     level = _name_level(F.col("core"), F.col("c1"))
     compatible = (_part_level(F.col("pre"), F.col("p1")) > 0) & (_part_level(F.col("suf"), F.col("s1")) > 0)
+    few = lambda most: F.col("numbers") <= F.greatest(F.lit(most), F.col("n1") * ACCIDENT_SHARE)
     gives_way = (
         ((level == 3) & (F.col("pre") == F.col("p1")) & (F.col("suf") == "") & (F.col("s1") != ""))
-        | ((level == 3) & (F.col("n1") >= 10 * F.col("support")) & (F.col("support") <= 3))
-        | (level.isin(1, 2) & compatible & (F.col("n1") > F.col("support")) & (F.col("n1") >= 8 * F.col("support")))
+        | ((level == 3) & compatible & few(MISSING) & (F.col("n1") >= 10 * F.col("support")))
+        | (level.isin(1, 2) & compatible & few(SLIPS) & (F.col("n1") > F.col("support")) & (F.col("n1") >= 8 * F.col("support")))
     )
     beaten = b.join(a, ["borough", "block"]).where(~((F.col("core") == F.col("c1")) & (F.col("pre") == F.col("p1")) & (F.col("suf") == F.col("s1")))).where(gives_way).select("borough", "core", "pre", "suf").distinct()
-    return forms.join(beaten, ["borough", "core", "pre", "suf"], "left_anti")
+    return forms.drop("numbers").join(beaten, ["borough", "core", "pre", "suf"], "left_anti")
 
 
 def link_streets(texts: DataFrame, lots: DataFrame) -> DataFrame:
     """(borough, street, street_id, weight, probability, ties) for street texts (borough, street, n).
 
-    ``lots`` has the texts of lots, n being lots. A text without a likely street doesn't come out; one with several
+    ``lots`` has the texts of lots, n being lots, and their distinct house numbers (array houses). A text without a likely street doesn't come out; one with several
     equally good streets comes out once for each, with ties > 1. NULL boroughs or streets and streets without a name
     have no street. Repeated rows must be counted in n beforehand.
     """
@@ -144,7 +150,7 @@ def link_addresses(lines: DataFrame) -> DataFrame:
     """
     ok = lines.where("id is not null and borough is not null and house is not null and street <> ''").select("side", "id", "borough", "house", "street")
     ok = cut(ok)  # repeated rows are counted together below, before they move
-    targets = ok.where("side <> 'record'").groupBy("borough", "street").agg(F.count_distinct("id").alias("n"))
+    targets = ok.where("side <> 'record'").groupBy("borough", "street").agg(F.count_distinct("id").alias("n"), F.collect_set("house").alias("houses"))
     texts = ok.groupBy("borough", "street").agg(F.count(F.lit(1)).alias("n"))  # weights of the estimation only
     links = cut(link_streets(texts, targets))
     placed = ok.join(links, ["borough", "street"])

@@ -85,6 +85,26 @@ def test_links(spark):
     assert link_addresses(lines(spark, [], lots)).count() == 0
 
 
+def test_small_streets_beside_large_ones(spark):
+    street = lambda b, ks, name: [(f"{name} {k}", b, f"{k} {name}") for k in ks]
+    lots = street("1", range(10, 50), "OAKFIELD STREET") + street("1", (12, 61, 62), "OAKFIELD AVENUE")
+    lots += street("2", range(10, 50), "EAST FARNHOLT ROAD") + street("2", (12,), "WEST FARNHOLT ROAD")
+    lots += street("3", range(10, 110), "BARTONHAM LANE") + street("3", range(10, 20), "BURTONHAM LANE")
+    lots += street("4", range(10, 50), "OLD MARDLEIGH PLACE") + street("4", (60,), "MARDLEIGH PLACE") + street("4", (61,), "OLD MARDLEIHG PLACE")
+    lots += [(f"same house {k}", "4", "62 OLD MARDLIEGH PLACE") for k in range(5)]
+    records = [
+        ("r1", "1", "12 OAKFIELD AVE"), ("r2", "1", "12 OAKFIELD ST"), ("r3", "1", "62 OAKFIELD AV"), ("r4", "1", "40 OAKFIELD AVENUE"),
+        ("r5", "2", "12 W FARNHOLT RD"), ("r6", "2", "12 E FARNHOLT RD"),
+        ("r7", "3", "12 BURTONHAM LN"), ("r8", "3", "12 BARTONHAM LN"), ("r9", "3", "90 BURTONHAM LANE"),
+        ("r10", "4", "60 OLD MARDLEIGH PL"), ("r11", "4", "61 OLD MARDLEIGH PL"), ("r12", "4", "62 OLD MARDLEIGH PL"),
+    ]
+    got = {(r.record_id, r.target_id) for r in link_addresses(lines(spark, records, lots)).collect()}
+    want = {("r1", "OAKFIELD AVENUE 12"), ("r2", "OAKFIELD STREET 12"), ("r3", "OAKFIELD AVENUE 62")}
+    want |= {("r5", "WEST FARNHOLT ROAD 12"), ("r6", "EAST FARNHOLT ROAD 12"), ("r7", "BURTONHAM LANE 12"), ("r8", "BARTONHAM LANE 12")}
+    want |= {("r10", "MARDLEIGH PLACE 60"), ("r11", "OLD MARDLEIHG PLACE 61")} | {("r12", f"same house {k}") for k in range(5)}
+    assert got == want
+
+
 def test_boroughs(spark):
     df = spark.createDataFrame([(" mn ", None), ("x", "BROOKLYN "), (None, "5"), (None, None)], "a string, b string")
     assert [r[0] for r in df.select(borough_code(F.col("a"), F.col("b"))).collect()] == ["1", "3", "5", None]
