@@ -2,8 +2,8 @@ from __future__ import annotations
 
 import random
 
-from lotline.llm.entities import match_entities
-from lotline.llm.queries import p2_found
+from lotline.llm.entities import NEAR_STEPS, match_entities
+from lotline.llm.queries import NEAR_M, p2_found
 
 
 def frames(spark, a, k, p, has):
@@ -40,6 +40,10 @@ def test_rules_and_posteriors(spark):
     assert rows["r1"].confidence > 0.9 > rows["place"].confidence or rows["place"].confidence < rows["r1"].confidence
 
 
+def test_neighbours_fill_the_grid():
+    assert NEAR_M == NEAR_STEPS[-1][0]
+
+
 def test_empty(spark):
     assert match_entities(*frames(spark, [], [], [], []), 6.0).count() == 0
 
