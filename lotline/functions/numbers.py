@@ -46,9 +46,19 @@ def linear_score(c: Column, cap: float) -> Column:
 
 
 def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """Metres on a sphere of radius 6,371,000 m."""
+    """Metres on a sphere of radius 6,371,000 m; NULL if any coordinate is."""
     h = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
-    return 2 * EARTH_M * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
+    return 2 * EARTH_M * F.asin(F.sqrt(F.when(h > 1, 1.0).otherwise(h)))
+
+
+def local_time(c: Column, zone: str = "America/New_York") -> Column:
+    """A UTC time as the wall clock of a zone shows it."""
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), c)
+
+
+def local_day_start(day: Column, zone: str = "America/New_York") -> Column:
+    """The UTC time at which a zone's day begins: windows of whole local days are half open between two of these."""
+    return F.convert_timezone(F.lit(zone), F.lit("UTC"), day.cast("timestamp_ntz"))
 
 
 def age_days(as_of: Column, when: Column) -> Column:

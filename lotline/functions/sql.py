@@ -21,7 +21,7 @@ FUNCTIONS = {
     "borough_name(x STRING) RETURNS STRING": f"CASE {_WHENS} ELSE upper(trim(x)) END",
     "address_light(x STRING) RETURNS STRING": _LIGHT,
     "address_full(x STRING) RETURNS STRING": _FULL,
-    "haversine_m(a DOUBLE, b DOUBLE, c DOUBLE, d DOUBLE) RETURNS DOUBLE": "2 * 6371000D * asin(sqrt(least(1D, pow(sin(radians(c - a) / 2), 2) + cos(radians(a)) * cos(radians(c)) * pow(sin(radians(d - b) / 2), 2))))",
+    "haversine_m(a DOUBLE, b DOUBLE, c DOUBLE, d DOUBLE) RETURNS DOUBLE": "CASE WHEN a + b + c + d IS NOT NULL THEN 2 * 6371000D * asin(sqrt(least(1D, pow(sin(radians(c - a) / 2), 2) + cos(radians(a)) * cos(radians(c)) * pow(sin(radians(d - b) / 2), 2)))) END",
     "log_score(x DOUBLE, cap DOUBLE) RETURNS DOUBLE": "CASE WHEN x IS NOT NULL THEN log1p(least(x, cap)) / log1p(cap) * 100 END",
 }
 

@@ -9,26 +9,28 @@ from pyspark.sql import functions as F
 
 from lotline.functions.keys import not_blank
 from lotline.functions.numbers import linear_score, log_score, round_half_up
+from lotline.operators.resolve import lookup_join
+from lotline.session import cut
 
 
-def canonicalize(obs: DataFrame, key: str, values: list[str], when: str, source: str, aliases: dict[str, str]) -> DataFrame:
+def canonicalize(obs: DataFrame, key: str, values: list[str], when: str, source: str, aliases: dict[str, tuple[str, str]], settled: str = "STABLE") -> DataFrame:
     """One row a key: the latest observation, sorted alias sets, their sizes and a status.
 
     Observations that differ only in time are collapsed first. Latest is by time (NULL last), then source, then the values
-    (NULL last). Status: more than one value of the first alias column, then of the second, else STABLE. Rows with NULL or
-    blank keys are left out.
+    (NULL last). ``aliases`` maps a value to its alias column and the status of keys with more than one of it; the first
+    that holds counts, else ``settled``. Sets leave NULLs out. Rows with NULL or blank keys are left out.
     """
     cols = [key, *values, source]
     seen = obs.where(not_blank(F.col(key))).groupBy(*cols).agg(F.max(when).alias(when))
     w = Window.partitionBy(key).orderBy(F.col(when).desc_nulls_last(), F.col(source).asc_nulls_last(), *[F.col(v).asc_nulls_last() for v in values])
     latest = seen.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-    aggs = [F.array_sort(F.collect_set(c)).alias(name) for c, name in aliases.items()]
+    aggs = [F.array_sort(F.collect_set(c)).alias(name) for c, (name, _) in aliases.items()]
     history = seen.groupBy(key).agg(*aggs, F.array_sort(F.collect_set(source)).alias("sources"))
-    names = list(aliases.values())
-    status = F.lit("STABLE")
-    for name in reversed(names):
-        status = F.when(F.size(name) > 1, f"{name.upper()}_HISTORY").otherwise(status)
-    return latest.join(history, key).withColumn("identity_status", status)
+    status = F.lit(settled)
+    for name, label in reversed(list(aliases.values())):
+        status = F.when(F.size(name) > 1, label).otherwise(status)
+    counts = {f"{c}_count": F.size(name).cast("bigint") for c, (name, _) in aliases.items()}
+    return latest.join(history, key).withColumns({**counts, "identity_status": status})
 
 
 def build_dim(df: DataFrame, prefix: str, key: str, columns: list[str], id_name: str) -> DataFrame:
@@ -41,11 +43,32 @@ def build_dim(df: DataFrame, prefix: str, key: str, columns: list[str], id_name:
 def arbitrate(entity_parent: Column, source_parent: Column, entity: Column) -> tuple[Column, Column, Column]:
     """(parent, method, conflict flag): the entity's parent wins; the event's own counts only if no entity was found."""
     parent = F.when(entity_parent.isNotNull(), entity_parent).when(entity.isNull(), source_parent)
-    method = F.when(entity_parent.isNotNull(), "CANONICAL").when(entity.isNull() & source_parent.isNotNull(), "SOURCE_KEY").otherwise("UNRESOLVED")
+    method = F.when(entity_parent.isNotNull(), "BUILDING_CANONICAL").when(entity.isNull() & source_parent.isNotNull(), "SOURCE_BBL").otherwise("UNRESOLVED")
     conflict = F.when(entity_parent.isNotNull() & source_parent.isNotNull() & (entity_parent != source_parent), 1).otherwise(0)
     return parent, method, conflict
 
 
+def build_fact(events: DataFrame, event_id: str, prefix: str, key: str, building: str, lot: str, buildings: DataFrame, properties: DataFrame) -> DataFrame:
+    """Fact rows: a prefixed id, the building and lot of each event, and which of both decided.
+
+    ``events`` has ``key`` (unique), ``building`` (a bin) and ``lot`` (a lot number); ``buildings`` has bin, building_id,
+    property_id, ``properties`` bbl and property_id, one row a key. Every event keeps its row; NULL keys of buildings and
+    lots match nothing. Columns of ``events`` stay as they are.
+    """
+    x = lookup_join(events.withColumn("_bin", F.trim(building)), key, ["_bin"], buildings.withColumn("_bin", F.trim("bin")), {"building_id": "building_id", "property_id": "building_property_id"}).drop("_bin")
+    x = lookup_join(x, key, [lot], properties.withColumn(lot, F.col("bbl")), {"property_id": "source_property_id"})
+    parent, method, conflict = arbitrate(F.col("building_property_id"), F.col("source_property_id"), F.col("building_id"))
+    return x.withColumns(
+        {
+            event_id: F.concat(F.lit(f"{prefix}:"), F.col(key)),
+            "property_id": parent,
+            "property_resolution_method": method,
+            "property_conflict_flag": conflict,
+            "building_resolution_status": F.when(F.col("building_id").isNotNull(), "RESOLVED").otherwise("UNRESOLVED"),
+        }
+    )
+
+
 def as_of_date(sources: list[tuple[DataFrame, str]]) -> DataFrame:
     """One row: the least of the sources' latest dates (the last day every source covers)."""
     latest = None
@@ -122,7 +145,20 @@ def rollup(df: DataFrame, parent: str, score: str) -> DataFrame:
     return df.where(F.col(parent).isNotNull()).groupBy(parent).agg(F.count(F.lit(1)).alias("children"), F.max(score).alias("max_score"), round_half_up(F.avg(score), 4).alias("avg_score"))
 
 
-def calibrate(df: DataFrame, column: str, probs: list[float]) -> DataFrame:
-    """(p, value): exact discrete quantiles of the positive values."""
-    q = df.where(F.col(column) > 0).agg(*[F.expr(f"percentile_disc({p}) within group (order by `{column}`)").alias(f"q{i}") for i, p in enumerate(probs)])
-    return q.select(F.explode(F.array(*[F.struct(F.lit(p).alias("p"), F.col(f"q{i}").alias("value")) for i, p in enumerate(probs)])).alias("x")).select("x.*")
+def calibrate(df: DataFrame, column: str, probs: list[float], error: float | None = None) -> DataFrame:
+    """(p, value): quantiles of the positive values; none positive gives NULLs.
+
+    Exact ones are the least value that at least the share p does not exceed: values are counted, sorted by range over all
+    tasks, and ranks come from counts before each range, so no task holds all values. With ``error`` they are approximate
+    to that share of the rows, in one pass.
+    """
+    x = df.where(F.col(column) > 0).select(F.col(column).alias("v"))
+    pairs = lambda row: row.select(F.explode(F.array(*[F.struct(F.lit(p).alias("p"), F.col(f"q{i}").alias("value")) for i, p in enumerate(probs)])).alias("x")).select("x.*")
+    if error:
+        return pairs(x.agg(*[F.percentile_approx("v", p, round(1 / error)).alias(f"q{i}") for i, p in enumerate(probs)]))
+    ranged = cut(x.groupBy("v").agg(F.count(F.lit(1)).alias("n")).repartitionByRange("v").withColumn("part", F.spark_partition_id()))
+    ahead = ranged.groupBy("part").agg(F.sum("n").alias("total")).withColumn("before", F.coalesce(F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    inside = F.sum("n").over(Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = ranged.withColumn("upto", inside).join(ahead.select("part", "before"), "part").withColumn("rank", F.col("before") + F.col("upto"))
+    total = ranged.agg(F.sum("n")).scalar()
+    return pairs(ranked.agg(*[F.min(F.when(F.col("rank") >= F.ceil(total * p), F.col("v"))).alias(f"q{i}") for i, p in enumerate(probs)]))

@@ -6,10 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotline.functions.keys import is_sequence_key
+from lotline.session import ship
 
 BLOCK_BITS = 16
 RANGES = "producer string, block bigint, lo bigint, hi bigint, copies bigint"
@@ -27,8 +28,8 @@ def to_ranges(numbers: np.ndarray, counts: np.ndarray | None = None, bits: int =
     return numbers[at], numbers[np.r_[at[1:] - 1, numbers.size - 1]], counts[at]
 
 
-def sweep(lo: np.ndarray, hi: np.ndarray, copies: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Disjoint (lo, hi, copies) covering all given ranges, adding the copies where they overlap."""
+def sweep(lo: np.ndarray, hi: np.ndarray, copies: np.ndarray, bits: int = BLOCK_BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Disjoint (lo, hi, copies) covering all given ranges, adding the copies where they overlap; none crosses a block."""
     edges, at = np.unique(np.concatenate([lo, hi + 1]), return_inverse=True)
     step = np.zeros(edges.size, np.int64)
     np.add.at(step, at[: lo.size], copies)
@@ -38,45 +39,90 @@ def sweep(lo: np.ndarray, hi: np.ndarray, copies: np.ndarray) -> tuple[np.ndarra
     there = depth > 0
     start, end, depth = start[there], end[there], depth[there]
     if start.size:  # join neighbours that are covered equally often
-        new = np.r_[True, (start[1:] != end[:-1] + 1) | (depth[1:] != depth[:-1])]
+        new = np.r_[True, (start[1:] != end[:-1] + 1) | (depth[1:] != depth[:-1]) | (start[1:] >> bits != end[:-1] >> bits)]
         first = np.flatnonzero(new)
         start, end, depth = start[first], end[np.r_[first[1:] - 1, end.size - 1]], depth[first]
     return start, end, depth
 
 
+#: Numbers a task gathers before it turns them into ranges.
+GATHER = 2_000_000
+
+
+def _range_batch(name: str, lo: np.ndarray, hi: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([name] * lo.size, pa.string()), pa.array(lo >> BLOCK_BITS), pa.array(lo), pa.array(hi), pa.array(n.astype(np.int64))], names=["producer", "block", "lo", "hi", "copies"])
+
+
 def _local_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: dict[str, list[np.ndarray]] = {}
+    held = 0
+
+    def out() -> Iterator[pa.RecordBatch]:
+        for name, parts in seen.items():
+            lo, hi, n = to_ranges(np.concatenate(parts))
+            if lo.size:
+                yield _range_batch(name, lo, hi, n)
+
     for b in batches:
         names = b.column("producer").dictionary_encode()
         who, num = names.indices.to_numpy(), b.column("number").to_numpy()
         for k, name in enumerate(names.dictionary.to_pylist()):
             seen.setdefault(name, []).append(num[who == k])
-    for name, parts in seen.items():
-        lo, hi, n = to_ranges(np.concatenate(parts))
-        if lo.size:
-            yield pa.RecordBatch.from_arrays([pa.array([name] * lo.size), pa.array(lo >> BLOCK_BITS), pa.array(lo), pa.array(hi), pa.array(n.astype(np.int64))], names=["producer", "block", "lo", "hi", "copies"])
+        held += b.num_rows
+        if held >= GATHER:
+            yield from out()
+            seen, held = {}, 0
+    yield from out()
 
 
 def seen_ranges(messages: DataFrame) -> DataFrame:
     """Disjoint ranges (producer, block, lo, hi, copies) of the sequence numbers in ``messages`` (producer, key).
 
-    Each input partition first makes its own ranges, equal ranges are added up, and the ranges of one block of
-    65,536 numbers are merged in one sweep; so a number delivered millions of times moves as one row a partition.
+    Each task first makes its own ranges, and the ranges of a block of 65,536 numbers are merged where they meet; so a
+    number delivered millions of times moves as one row a task.
     """
     numbers = messages.where(F.col("producer").isNotNull() & is_sequence_key(F.col("key"))).select("producer", F.col("key").cast("bigint").alias("number"))
-    local = numbers.mapInArrow(_local_ranges, RANGES).groupBy("producer", "block", "lo", "hi").agg(F.sum("copies").alias("copies"))
-    return merge_ranges(local)
+    ship(messages.sparkSession)
+    return merge_ranges(numbers.mapInArrow(_local_ranges, RANGES))
 
 
-def merge_ranges(ranges: DataFrame) -> DataFrame:
-    """Disjoint ranges from overlapping ones; ranges don't cross blocks."""
+def _merge_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ranges sorted by producer and block; the last block of a batch waits for the next one."""
+    left: pa.Table | None = None
+
+    def merged(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        names = t.column("producer").combine_chunks().dictionary_encode()
+        who = names.indices.to_numpy()
+        lo, hi, n = (t.column(c).to_numpy() for c in ("lo", "hi", "copies"))
+        for k, name in enumerate(names.dictionary.to_pylist()):
+            own = who == k
+            yield _range_batch(name, *sweep(lo[own], hi[own], n[own]))
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        t = pa.Table.from_batches([b])
+        t = pa.concat_tables([left, t]) if left is not None else t
+        names, block = t.column("producer").combine_chunks().dictionary_encode(), t.column("block").to_numpy()
+        who = names.indices.to_numpy()
+        last = np.flatnonzero((who != who[-1]) | (block != block[-1]))
+        at = int(last[-1]) + 1 if last.size else 0
+        if at:
+            yield from merged(t.slice(0, at))
+        left = t.slice(at)
+    if left is not None:
+        yield from merged(left)
 
-    def merge(t: pa.Table) -> pa.Table:
-        lo, hi, n = sweep(*(t.column(c).to_numpy() for c in ("lo", "hi", "copies")))
-        name, block = t.column("producer")[0].as_py(), t.column("block")[0].as_py()
-        return pa.table({"producer": pa.array([name] * lo.size, pa.string()), "block": pa.array([block] * lo.size, pa.int64()), "lo": lo, "hi": hi, "copies": n.astype(np.int64)})
 
-    return ranges.groupBy("producer", "block").applyInArrow(merge, RANGES)
+def merge_ranges(ranges: DataFrame) -> DataFrame:
+    """Disjoint ranges from overlapping ones; ranges don't cross blocks.
+
+    Blocks are sent to tasks by hash and stream through sorted, many to a task, so sparse identifiers cost no more than
+    dense ones and no more than a block is held at a time.
+    """
+    ship(ranges.sparkSession)
+    names = ["producer", "block", "lo", "hi", "copies"]
+    return ranges.select(*names).repartition("producer", "block").sortWithinPartitions("producer", "block", "lo").mapInArrow(_merge_sorted, RANGES)
 
 
 def repeated_messages(messages: DataFrame) -> DataFrame:
@@ -94,13 +140,28 @@ def repeated_messages(messages: DataFrame) -> DataFrame:
 def keep_one(df: DataFrame, key: Column, newest: list[Column]) -> DataFrame:
     """One row for each non-NULL key: the greatest by ``newest`` (NULL least), ties by the whole row.
 
-    An aggregate of one struct a row, combined before the shuffle, so that a key of many copies moves once a partition.
+    Ranked with a limit of one in each task before rows move, so that a key of many copies moves once a task.
     Columns must be orderable. Repeated rows give one; an empty input gives an empty result.
     """
     cols = df.columns
-    order = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(newest)], *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(cols)])
-    best = df.select(key.alias("k"), order.alias("o")).where("k is not null").groupBy("k").agg(F.max("o").alias("o"))
-    return best.select(*[F.col(f"o.c{i}").alias(c) for i, c in enumerate(cols)])
+    order = [*[c.desc_nulls_last() for c in newest], *[F.col(f"`{c}`").desc_nulls_last() for c in cols]]
+    keyed = df.withColumn("_key", key).where("_key is not null")
+    return keyed.withColumn("_nth", F.row_number().over(Window.partitionBy("_key").orderBy(*order))).where("_nth = 1").select(*[f"`{c}`" for c in cols])
+
+
+def deliver_once(df: DataFrame, producer: Column, key: Column, newest: list[Column]) -> DataFrame:
+    """``df`` with one row for each message: the greatest by ``newest``, ties by the whole row.
+
+    The seen ranges tell which numbers came more than once (other identifiers are counted exactly). A number that its
+    range covers once is accepted as it stands; only rows of repeated messages are gathered by key and ranked. Rows
+    without producer or key are no messages. Repeated rows give one; an empty input gives an empty result.
+    """
+    cols = [f"`{c}`" for c in df.columns]
+    named = df.withColumns({"_producer": producer, "_message": key}).where("_producer is not null and _message is not null")
+    many = repeated_messages(named.select(F.col("_producer").alias("producer"), F.col("_message").alias("key"))).select(F.col("producer").alias("_producer"), F.col("key").alias("_message"))
+    once = named.join(many, ["_producer", "_message"], "left_anti").select(*cols)
+    rest = named.join(many, ["_producer", "_message"], "left_semi")
+    return once.unionByName(keep_one(rest, F.struct("_producer", "_message"), newest).select(*cols))
 
 
 def accept_new(batch: DataFrame, seen: DataFrame, odd: DataFrame, newest: list[Column]) -> tuple[DataFrame, DataFrame]:

@@ -10,35 +10,57 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotline.functions.keys import not_blank
+from lotline.session import cut, ship
+
+
+def sortable(keys: pa.Array) -> np.ndarray:
+    """Keys as an array that is searched without making Python objects: fixed-width bytes for short ASCII keys, else texts.
+
+    Both sort as the engine sorts, by code point.
+    """
+    width = pc.max(pc.binary_length(keys)).as_py() or 1
+    if width > 64 or not pc.all(pc.string_is_ascii(keys)).as_py() or pc.any(pc.match_substring(keys, "\0")).as_py():
+        return keys.to_numpy(zero_copy_only=False)
+    padded = pc.ascii_rpad(keys, width, "\0")
+    padded = pa.concat_arrays([padded])  # offsets from 0
+    return np.frombuffer(padded.buffers()[2], f"S{width}", len(keys)) if len(keys) else np.empty(0, f"S{width}")
+
+
+def _find(have: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether each key is in the sorted array."""
+    if have.dtype.kind != keys.dtype.kind:
+        text = lambda x: x if x.dtype.kind == "O" else np.char.decode(x, "ascii").astype(object)
+        have, keys = text(have), text(keys)
+    at = np.searchsorted(have, keys)
+    found = np.zeros(keys.size, bool)
+    inside = at < have.size
+    found[inside] = have[at[inside]] == keys[inside]
+    return found
 
 
 def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One range, parents first: keep the references that the sorted parents lack."""
-    parents: dict[str, list[np.ndarray]] = {}
+    parents: dict[str, list[pa.Array]] = {}
     arrays: dict[str, np.ndarray] = {}
     for b in batches:
-        kinds = b.column("kind").to_numpy(zero_copy_only=False)
-        keys = b.column("key").to_numpy(zero_copy_only=False)
+        names = b.column("kind").dictionary_encode()
+        kinds, keys = names.indices.to_numpy(), b.column("key")
         is_ref = b.column("is_ref").to_numpy(zero_copy_only=False).astype(bool)
         miss = np.zeros(len(keys), bool)
-        for kind in set(kinds):
-            own = kinds == kind
+        for code, kind in enumerate(names.dictionary.to_pylist()):
+            own = kinds == code
             if (p := own & ~is_ref).any():
-                parents.setdefault(kind, []).append(keys[p])
+                parents.setdefault(kind, []).append(keys.filter(pa.array(p)))
                 arrays.pop(kind, None)
             if (r := np.flatnonzero(own & is_ref)).size:
                 if kind not in arrays:
-                    arrays[kind] = np.concatenate(parents.get(kind) or [np.empty(0, object)])
-                have = arrays[kind]
-                at = np.searchsorted(have, keys[r])
-                found = np.zeros(r.size, bool)
-                inside = at < have.size
-                found[inside] = have[at[inside]] == keys[r][inside]
-                miss[r] = ~found
+                    arrays[kind] = sortable(pa.concat_arrays(parents.get(kind) or [pa.array([], pa.string())]))
+                miss[r] = ~_find(arrays[kind], sortable(keys.take(pa.array(r))))
         if miss.any():
             yield b.select(["kind", "key"]).filter(pa.array(miss))
 
@@ -50,7 +72,8 @@ def missing_keys(refs: DataFrame, parents: DataFrame) -> DataFrame:
     count once. An empty ``parents`` makes every reference a miss; empty ``refs`` give an empty result.
     """
     side = lambda df, flag: df.select("kind", "key").where("kind is not null and key is not null").distinct().withColumn("is_ref", F.lit(flag))
-    both = side(parents, 0).unionByName(side(refs, 1))
+    ship(refs.sparkSession)
+    both = cut(side(parents, 0).unionByName(side(refs, 1)))  # ranges are drawn from it before it is sent
     ranged = both.repartitionByRange("kind", "key").sortWithinPartitions("is_ref", "kind", "key")
     return ranged.mapInArrow(_probe, "kind string, key string")
 

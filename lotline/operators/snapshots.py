@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def versions_in_order(df: DataFrame, version: str) -> list[str]:
+    """The names of all snapshots in the data, numbers in them compared as numbers; one name a delivered snapshot."""
+    names = [r[0] for r in df.where(F.col(version).isNotNull()).select(version).distinct().collect()]
+    parts = lambda v: [(int(x), "") if x.isdigit() else (-1, x) for x in re.findall(r"[0-9]+|[^0-9]+", v)]
+    return sorted(names, key=lambda v: (parts(v), v))
+
+
 def snapshot_changes(df: DataFrame, key: Column, version: Column, order: list[str], fields: dict[str, Column]) -> DataFrame:
     """(key, version_from, version_to, change_kind, changed_fields) between consecutive versions.
 

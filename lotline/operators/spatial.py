@@ -17,17 +17,50 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotline.session import cut
+from lotline.session import cut, ship
 
 EARTH_M = 6_371_000.0
-#: Rows drawn from each side to place the cuts of the upper hierarchy; they shape the balance, never the result.
-SAMPLE_ROWS = 20_000
+#: Rows drawn from each side to place the cuts of the upper hierarchy, and for each cell; they shape the balance, never the result.
+SAMPLE_ROWS, SAMPLE_PER_CELL = 20_000, 4
+#: The most cells, for what the driver draws and sends; beyond it, cells get blocks of triangles and points instead.
+MAX_CELLS = 131_072
+#: Points probed at a time in one unit, so that candidate pairs are tested and dropped in slices.
+SLICE = 32_768
 #: Triangles and points aimed at for one unit of work.
 UNIT_TRIANGLES, UNIT_POINTS = 24_000, 150_000
 TRIANGLE = "ax double, ay double, bx double, by double, cx double, cy double"
 CORNERS = ["ax", "ay", "bx", "by", "cx", "cy"]
 
 
+def _crosses(a, b, c, d) -> bool:
+    """Whether two segments meet in a point inside both."""
+    side = lambda p, q, r: (q[0] - p[0]) * (r[1] - p[1]) - (q[1] - p[1]) * (r[0] - p[0])
+    s1, s2, s3, s4 = side(a, b, c), side(a, b, d), side(c, d, a), side(c, d, b)
+    return (s1 > 0) != (s2 > 0) and (s3 > 0) != (s4 > 0) and 0 not in (s1, s2, s3, s4)
+
+
+def with_holes(outer: list[tuple[float, float]], holes: list[list[tuple[float, float]]]) -> list[tuple[float, float]]:
+    """One ring for a polygon with holes: each hole is cut open and joined to the ring by a bridge walked both ways.
+
+    Holes are joined from the right; a bridge goes to the nearest corner that can be seen.
+    """
+    turn = lambda r: sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(r, r[1:] + r[:1], strict=True))
+    ring = list(outer) if turn(outer) > 0 else list(outer)[::-1]
+    inner = [list(h) if turn(h) < 0 else list(h)[::-1] for h in holes if len(h) >= 3]
+    for n, hole in enumerate(sorted(inner, key=lambda h: -max(h)[0])):
+        rest = [h for h in sorted(inner, key=lambda h: -max(h)[0])[n:]]
+        start = max(range(len(hole)), key=lambda i: hole[i])
+        at = hole[start]
+        edges = [(r[i - 1], r[i]) for r in [ring, *rest] for i in range(len(r))]
+        for k in sorted(range(len(ring)), key=lambda i: (ring[i][0] - at[0]) ** 2 + (ring[i][1] - at[1]) ** 2):
+            if not any(_crosses(at, ring[k], a, b) for a, b in edges):
+                break
+        else:
+            raise ValueError("a hole lies outside its polygon")
+        ring = [*ring[: k + 1], *hole[start:], *hole[: start + 1], *ring[k:]]
+    return ring
+
+
 def ear_clip(ring: list[tuple[float, float]]) -> list[tuple[tuple[float, float], ...]]:
     """Triangles of a simple polygon; repeated and collinear corners are dropped, fewer than three give none."""
     pts = [p for i, p in enumerate(ring) if p != ring[i - 1]] if len(ring) > 1 else list(ring)
@@ -120,7 +153,10 @@ class TriangleTree:
 
     WIDTH = 4
 
-    def __init__(self, tri: np.ndarray) -> None:
+    def __init__(self, tri: np.ndarray, exact: bool = True) -> None:
+        """``exact``: triangles that share an edge compute the same number for it, with opposite sign, so that no point
+        on it or beside it falls between them."""
+        self.exact = exact
         x, y = tri[:, 0::2], tri[:, 1::2]
         lo, hi = np.c_[x.min(1), y.min(1)], np.c_[x.max(1), y.max(1)]
         mid = (lo + hi) / 2
@@ -146,7 +182,17 @@ class TriangleTree:
                 there = node < len(self.lo[level - 1])
                 p, node = p[there], node[there]
         t, x, y = self.tri[node], xy[p, 0], xy[p, 1]
-        side = lambda i, j: (t[:, j] - t[:, i]) * (y - t[:, i + 1]) - (t[:, j + 1] - t[:, i + 1]) * (x - t[:, i])
+
+        def side(i: int, j: int) -> np.ndarray:
+            ax, ay, bx, by = t[:, i], t[:, i + 1], t[:, j], t[:, j + 1]
+            if not self.exact:
+                return (bx - ax) * (y - ay) - (by - ay) * (x - ax)
+            swap = (ax > bx) | ((ax == bx) & (ay > by))
+            ax, bx = np.where(swap, bx, ax), np.where(swap, ax, bx)
+            ay, by = np.where(swap, by, ay), np.where(swap, ay, by)
+            s = (bx - ax) * (y - ay) - (by - ay) * (x - ax)
+            return np.where(swap, -s, s)
+
         s = np.c_[side(0, 2), side(2, 4), side(4, 0)]
         inside = (s >= 0).all(1) | (s <= 0).all(1)
         return p[inside], self.order[node[inside]]
@@ -163,20 +209,58 @@ def _numpy(t: pa.Table | pa.RecordBatch, names: list[str]) -> np.ndarray:
     return np.stack([t.column(n).to_numpy() if isinstance(t, pa.Table) else t.column(n).to_numpy(zero_copy_only=False) for n in names], axis=1) if t.num_rows else np.empty((0, len(names)))
 
 
+def _clipped(row: dict) -> list[tuple[tuple[float, float], ...]]:
+    corners = lambda ring: [(p["x"], p["y"]) for p in ring]
+    outer, holes = corners(row["ring"]), [corners(h) for h in row.get("holes") or []]
+    if any(v is None or v != v for ring in [outer, *holes] for p in ring for v in p):
+        raise ValueError("a corner lacks a coordinate")
+    return ear_clip(with_holes(outer, holes) if holes and len(outer) >= 3 else outer)
+
+
+def _polygons(regions: DataFrame) -> DataFrame:
+    return regions.select("region", "ring", *(["holes"] if "holes" in regions.columns else [])).where("region is not null and ring is not null")
+
+
 def triangles_of(regions: DataFrame) -> DataFrame:
-    """(region, corners) from (region string, ring array<struct<x,y>>); NULL regions and rings with no area give none."""
+    """(region, corners) from (region string, ring array<struct<x,y>>[, holes array<array<struct<x,y>>>]).
+
+    A region of several polygons has several rows. NULL regions and rings with no area give none; a polygon that cannot
+    be cut (its ring crosses itself, a hole lies outside, a corner is missing) gives none either and is told by ``bad_regions``.
+    """
+    ship(regions.sparkSession)
 
     def clip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, rows = [], []
-            for rid, ring in zip(b.column("region").to_pylist(), b.column("ring").to_pylist(), strict=True):
-                for tri in ear_clip([(p["x"], p["y"]) for p in ring]):
-                    ids.append(rid)
+            for row in b.to_pylist():
+                try:
+                    made = _clipped(row)
+                except ValueError:
+                    continue
+                for tri in made:
+                    ids.append(row["region"])
                     rows.append([v for p in tri for v in p])
             a = np.array(rows, float).reshape(-1, 6)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), *[pa.array(a[:, i]) for i in range(6)]], names=["region", *CORNERS])
 
-    return regions.select("region", "ring").where("region is not null and ring is not null").mapInArrow(clip, f"region string, {TRIANGLE}")
+    return _polygons(regions).mapInArrow(clip, f"region string, {TRIANGLE}")
+
+
+def bad_regions(regions: DataFrame) -> DataFrame:
+    """(region, error) of each polygon that cannot be cut into triangles."""
+    ship(regions.sparkSession)
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for row in b.to_pylist():
+                try:
+                    _clipped(row)
+                except ValueError as e:
+                    out.append((row["region"], str(e)))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.string()) for k in range(2)], names=["region", "error"])
+
+    return _polygons(regions).mapInArrow(tell, "region string, error string")
 
 
 def disc_triangles(centres: DataFrame, metres: float) -> DataFrame:
@@ -186,6 +270,8 @@ def disc_triangles(centres: DataFrame, metres: float) -> DataFrame:
     out = metres * 1.002 / math.cos(math.pi / 6)  # a little more, for the bend of the parallels
     deg = math.degrees(out / EARTH_M)
 
+    ship(centres.sparkSession)
+
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             xy = _numpy(b, ["x", "y"])
@@ -203,10 +289,12 @@ def probe_points(points: DataFrame, triangles: DataFrame, metres: float | None =
 
     ``points`` (x, y) are made distinct first, so a place that holds a third of all rows is probed once. Each point
     lies in one cell, each triangle goes to the cells it touches, so every pair meets in exactly one unit of work.
-    Cells that the sample shows to be heavy (many regions at one place) are cut into blocks of triangles and of points.
+    There are as many cells as the data asks for, up to MAX_CELLS; those that the sample shows to be heavy (many regions
+    at one place, or more data than cells) are cut into blocks of triangles and of points.
     ``shape`` gives the number of triangles and points (x, y) to draw their sample from, where these are known more cheaply.
     """
-    spots = cut(points.select("x", "y").where("x is not null and y is not null and not isnan(x) and not isnan(y)").distinct())
+    ship(points.sparkSession)
+    spots = cut(points.select(F.col("x").cast("double"), F.col("y").cast("double")).where("x is not null and y is not null and not isnan(x) and not isnan(y)").distinct())
     fields = ["region", *CORNERS] + (["cx0", "cy0"] if metres is not None else [])
     triangles = triangles.select(*fields)
     out = "x double, y double, region string" + (", metres double" if metres is not None else "")
@@ -215,11 +303,12 @@ def probe_points(points: DataFrame, triangles: DataFrame, metres: float | None =
     n_t, n_p = shape[0] if shape else triangles.count(), spots.count()
     if not n_t or not n_p:
         return spark.createDataFrame([], out)
-    draw = lambda df, n: np.array([tuple(r) for r in df.sample(min(1.0, SAMPLE_ROWS / n), seed=7).limit(2 * SAMPLE_ROWS).collect()], float).reshape(-1, 2)
+    cells = int(min(MAX_CELLS, max(12, n_t // UNIT_TRIANGLES, n_p // UNIT_POINTS)))
+    wanted = max(SAMPLE_ROWS, SAMPLE_PER_CELL * cells)
+    draw = lambda df, n: np.array([tuple(r) for r in df.sample(min(1.0, wanted / n), seed=7).limit(2 * wanted).collect()], float).reshape(-1, 2)
     middles = shape[1] if shape else triangles.select((F.col("ax") + F.col("bx") + F.col("cx")) / 3, (F.col("ay") + F.col("by") + F.col("cy")) / 3)
     st = draw(middles, n_t)
     sp = draw(spots, n_p)
-    cells = int(min(4096, max(12, n_t // UNIT_TRIANGLES, n_p // UNIT_POINTS)))
     tree = CellTree(np.r_[st, sp] if len(st) + len(sp) else np.zeros((1, 2)), cells)
     share = lambda xy, n: np.bincount(tree.of_points(xy), minlength=tree.leaves) * (n / max(1, len(xy))) if len(xy) else np.zeros(tree.leaves)
     t_blocks = np.maximum(1, np.ceil(share(st, n_t) / (4 * UNIT_TRIANGLES))).astype(int)
@@ -261,25 +350,25 @@ def probe_points(points: DataFrame, triangles: DataFrame, metres: float | None =
     def meet(pts: pa.Table, tris: pa.Table) -> pa.Table:
         names = [f.split()[0] for f in out.split(", ")]
         xy, a = _numpy(pts, ["x", "y"]), _numpy(tris, CORNERS)
-        if len(xy) and len(a):
-            p, t = TriangleTree(a).probe(xy)
-        else:
-            p = t = np.empty(0, np.int64)
         codes = tris.column("region").combine_chunks().dictionary_encode() if tris.num_rows else pa.array([], pa.string()).dictionary_encode()
-        region = codes.indices.to_numpy()[t] if len(t) else t
-        if metres is not None and len(t):
-            at = _numpy(tris, ["cx0", "cy0"])[t]
-            d = haversine(xy[p, 1], xy[p, 0], at[:, 1], at[:, 0])
-            near = d <= metres
-            p, region, d = p[near], region[near], d[near]
-        else:
-            d = np.zeros(len(p))
-        # a region's triangles share edges: each (point, region) once, at its least distance
-        order = np.lexsort((d, region, p))
-        p, region, d = p[order], region[order], d[order]
-        first = np.ones(len(p), bool)
-        first[1:] = (p[1:] != p[:-1]) | (region[1:] != region[:-1])
-        p, region, d = p[first], region[first], d[first]
+        parts = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+        if len(xy) and len(a):
+            tree, own, centre = TriangleTree(a, metres is None), codes.indices.to_numpy(), _numpy(tris, ["cx0", "cy0"]) if metres is not None else None
+            for k in range(0, len(xy), SLICE):
+                p, t = tree.probe(xy[k : k + SLICE])
+                p, region, d = p + k, own[t], np.zeros(len(p))
+                if metres is not None:
+                    at = centre[t]
+                    d = haversine(xy[p, 1], xy[p, 0], at[:, 1], at[:, 0])
+                    near = d <= metres
+                    p, region, d = p[near], region[near], d[near]
+                # a region's triangles share edges: each (point, region) once, at its least distance
+                order = np.lexsort((d, region, p))
+                p, region, d = p[order], region[order], d[order]
+                first = np.ones(len(p), bool)
+                first[1:] = (p[1:] != p[:-1]) | (region[1:] != region[:-1])
+                parts.append((p[first], region[first], d[first]))
+        p, region, d = (np.concatenate(x) for x in zip(*parts, strict=True))
         cols = [pa.array(xy[p, 0]), pa.array(xy[p, 1]), codes.dictionary.take(pa.array(region, pa.int64()))]
         return pa.Table.from_arrays(cols + ([pa.array(d)] if metres is not None else []), names=names)
 
@@ -301,16 +390,16 @@ def near_points(points: DataFrame, places: DataFrame, metres: float) -> DataFram
     counts with its nearest. Ties all come out. Extra columns are ignored.
     """
     ok = "x is not null and y is not null and not isnan(x) and not isnan(y)"
-    centres = cut(places.select(F.col("place").alias("region"), "x", "y").where(f"region is not null and {ok}").distinct())
+    centres = cut(places.select(F.col("place").alias("region"), F.col("x").cast("double"), F.col("y").cast("double")).where(f"region is not null and {ok}").distinct())
     shape = (4 * centres.count(), centres.select("x", "y"))  # a hexagon has four triangles
     return probe_points(points, disc_triangles(centres, metres), metres, shape).withColumnRenamed("region", "place")
 
 
 def containing_regions(points: DataFrame, regions: DataFrame, shared_boundary: str = "first") -> DataFrame:
-    """(x, y, region) of distinct points in or on a polygon (region, ring array<struct<x,y>>).
+    """(x, y, region) of distinct points in or on a polygon (region, ring array<struct<x,y>>[, holes]); see ``triangles_of``.
 
     A point on the boundary of several regions (or in overlapping ones) goes to the first region id, or with
-    ``shared_boundary="all"`` to each. Points in no region don't come out.
+    ``shared_boundary="all"`` to each. The edge of a hole belongs to the region. Points in no region don't come out.
     """
     found = probe_points(points, triangles_of(regions))
     return found if shared_boundary == "all" else found.groupBy("x", "y").agg(F.min("region").alias("region"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lotline.functions import numbers as N
 from lotline.functions import text as T
 from lotline.functions.keys import lot_with_source, strip_zero_decimals
-from lotline.operators.model import as_of_date, canonicalize
+from lotline.operators.model import as_of_date
 from lotline.operators.once import keep_one
 from lotline.operators.resolve import pick_by_priority, unique_target
 from lotline.plans.registry import Catalog, Tables
@@ -139,7 +139,7 @@ def q13_log_and_linear_normalize(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", N.round_half_up(N.log_score(F.col("p_size"), 40), 4).alias("log_score"), N.round_half_up(N.linear_score(F.col("p_retailprice"), 1500), 4).alias("linear_score"), F.greatest("p_size", F.lit(10)).alias("g"))
 
 
-SQL_DIST = "2 * 6371000.0 * asin(sqrt(least(1.0, pow(sin(radians({b}.latitude - {a}.latitude) / 2), 2) + cos(radians({a}.latitude)) * cos(radians({b}.latitude)) * pow(sin(radians({b}.longitude - {a}.longitude) / 2), 2))))"
+SQL_DIST = "case when {a}.latitude + {a}.longitude + {b}.latitude + {b}.longitude is not null then 2 * 6371000.0 * asin(sqrt(least(1.0, pow(sin(radians({b}.latitude - {a}.latitude) / 2), 2) + cos(radians({a}.latitude)) * cos(radians({b}.latitude)) * pow(sin(radians({b}.longitude - {a}.longitude) / 2), 2)))) end"
 
 
 @C.add(f"select b.bin, {sql_round(SQL_DIST.format(a='b', b='p'), 3)} as metres from building_identity b join dim_property p on b.current_bbl = p.bbl")
@@ -169,20 +169,6 @@ def q17_distinct_union_by_name(t: Tables) -> DataFrame:
     return a.unionByName(b).unionByName(t.fact_311_event.select(F.col("source_bbl").alias("bbl"), F.lit("event").alias("source"))).distinct()
 
 
-@C.add(
-    f"""with o as (select trim(bin) as bin, {SQL_SRC_LOT} as bbl, {sql_light("concat_ws(' ', housenumber, streetname)")} as address, max(inspectiondate) as seen from hpd where regexp_matches(bin, '\\S') group by 1, 2, 3),
-    l as (select * from o qualify row_number() over (partition by bin order by seen desc nulls last, bbl asc nulls last, address asc nulls last) = 1),
-    h as (select bin, list_sort(list_distinct(list(bbl))) as bbls, list_sort(list_distinct(list(address))) as addresses from o group by 1)
-    select l.bin, l.bbl as current_bbl, l.address as current_address, array_to_string(bbls, '|') as bbls, cast(len(addresses) as int) as address_count, case when len(bbls) > 1 then 'BBL_ALIASES_HISTORY' when len(addresses) > 1 then 'ADDRESS_ALIASES_HISTORY' else 'STABLE' end as identity_status from l join h using (bin)"""
-)
-def q18_alias_history(t: Tables) -> DataFrame:
-    from lotline.functions.keys import valid_lot
-
-    obs = t.hpd.select(F.trim("bin").alias("bin"), valid_lot(F.col("bbl")).alias("bbl"), T.address_light(F.concat_ws(" ", "housenumber", "streetname")).alias("address"), "inspectiondate", F.lit("HPD").alias("source"))
-    out = canonicalize(obs, "bin", ["bbl", "address"], "inspectiondate", "source", {"bbl": "bbl_aliases", "address": "address_aliases"})
-    return out.select("bin", F.col("bbl").alias("current_bbl"), F.col("address").alias("current_address"), F.array_join("bbl_aliases", "|").alias("bbls"), F.size("address_aliases").alias("address_count"), "identity_status")
-
-
 @C.add("select distinct bin, v from (select bin, unnest(list_concat([current_bbl, resolved_bbl], coalesce(bbl_aliases, []))) as v from building_identity) where v is not null")
 def q19_array_concat_distinct_explode(t: Tables) -> DataFrame:
     every = F.array_distinct(F.concat(F.array("current_bbl", "resolved_bbl"), F.coalesce("bbl_aliases", F.array().cast("array<string>"))))

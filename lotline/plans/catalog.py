@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from lotline.plans import basics, models
+from lotline.plans import basics, risk, star
 from lotline.plans.registry import Query
 
 
 def queries() -> dict[str, Query]:
-    return {**basics.C.queries, **models.C.queries}
+    return {**basics.C.queries, **star.C.queries, **risk.C.queries}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**basics.C.sql, **models.C.sql}
+    return {**basics.C.sql, **star.C.sql, **risk.C.sql}

@@ -8,17 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotline.functions.keys import lot_number, message_key
-from lotline.operators.once import keep_one, repeated_messages
+from lotline.operators.once import deliver_once, repeated_messages
 from lotline.operators.orphans import orphan_references, orphan_report
-from lotline.operators.snapshots import snapshot_changes
-from lotline.operators.spatial import near_points
+from lotline.operators.snapshots import snapshot_changes, versions_in_order
+from lotline.operators.spatial import containing_regions, near_points
 from lotline.operators.trailing import daily_counts, last_day, trailing_totals
 from lotline.session import table
 
 NEAR_M = 25.0
 LAT, LON = (40.0, 41.0), (-75.0, -73.0)
-VERSIONS = ["27v1", "27v2", "27v3", "28v1"]
-CURRENT_VERSION = "27v3"
 
 
 def in_city(df: DataFrame) -> DataFrame:
@@ -44,6 +42,28 @@ def p1_near_counts(spark: SparkSession, d: str) -> DataFrame:
     return near.join(weight, ["x", "y"]).groupBy(F.col("place").alias("bin"), band.alias("band")).agg(F.sum("n").alias("complaints"))
 
 
+def blocks_of_lots(lots: DataFrame) -> DataFrame:
+    """(region, ring, holes): the frame of each block of lots, an L-shaped ring around its points with the yard cut out.
+
+    The ring leaves the north-eastern quarter of the block's box to the neighbours; the hole lies in the south-western one.
+    """
+    at = lambda x, y: F.struct(F.expr(x).alias("x"), F.expr(y).alias("y"))
+    key = lot_number(F.col("bbl"))
+    box = in_city(lots).select(F.substring(key, 1, 6).alias("region"), F.col("longitude").alias("x"), F.col("latitude").alias("y")).where("region is not null")
+    box = box.groupBy("region").agg(F.min("x").alias("x0"), F.max("x").alias("x4"), F.min("y").alias("y0"), F.max("y").alias("y4")).where("x0 < x4 and y0 < y4")
+    box = box.selectExpr("*", "(x0 + x4) / 2 as x2", "(y0 + y4) / 2 as y2").selectExpr("*", "x0 + (x2 - x0) * 0.25 as x1", "x0 + (x2 - x0) * 0.75 as x3", "y0 + (y2 - y0) * 0.25 as y1", "y0 + (y2 - y0) * 0.75 as y3")
+    ring = F.array(at("x0", "y0"), at("x4", "y0"), at("x4", "y2"), at("x2", "y2"), at("x2", "y4"), at("x0", "y4"))
+    hole = F.array(at("x1", "y1"), at("x1", "y3"), at("x3", "y3"), at("x3", "y1"))
+    return box.select("region", ring.alias("ring"), F.array(hole).alias("holes"))
+
+
+def p1_regions(spark: SparkSession, d: str) -> DataFrame:
+    """The block of lots whose frame contains each complaint's point; of several the first."""
+    calls = in_city(table(spark, d, "nyc_311")).select(message_key(F.col("unique_key")).alias("unique_key"), F.col("longitude").alias("x"), F.col("latitude").alias("y")).where("unique_key is not null").distinct()
+    inside = containing_regions(calls, blocks_of_lots(table(spark, d, "pluto")))
+    return calls.join(inside, ["x", "y"]).select("unique_key", "region").distinct()
+
+
 def _orphans(spark: SparkSession, d: str) -> DataFrame:
     props = table(spark, d, "dim_property").select(F.lit("property").alias("kind"), F.col("property_id").alias("key"))
     blds = table(spark, d, "building_identity").select(F.lit("building").alias("kind"), F.concat(F.lit("BLD:"), F.col("bin")).alias("key"))
@@ -60,7 +80,8 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_report(spark: SparkSession, d: str) -> DataFrame:
     known = table(spark, d, "pluto").select(F.concat(F.lit("PROP:"), lot_number(F.col("bbl"))).alias("key"), "version").distinct()
-    return orphan_report(_orphans(spark, d), known, CURRENT_VERSION)
+    current = table(spark, d, "dim_property").agg(F.max("snapshot_version")).first()[0]
+    return orphan_report(_orphans(spark, d), known, current)
 
 
 def _trailing(spark: SparkSession, d: str, keep=None) -> DataFrame:
@@ -99,13 +120,14 @@ def p6_once(spark: SparkSession, d: str) -> DataFrame:
     out = []
     for name, key in (("nyc_311", "unique_key"), ("hpd", "violationid")):
         df = table(spark, d, name).select(message_key(F.col(key)).alias("message_id"), "run_id", F.date_format("ingested_at", "yyyy-MM-dd HH:mm:ss").alias("ingested_at"))
-        out.append(keep_one(df, F.col("message_id"), [F.col("ingested_at"), F.col("run_id")]).select(F.lit(name).alias("source_table"), "message_id", "run_id", "ingested_at"))
+        out.append(deliver_once(df, F.lit(name), F.col("message_id"), [F.col("ingested_at"), F.col("run_id")]).select(F.lit(name).alias("source_table"), "message_id", "run_id", "ingested_at"))
     return out[0].unionByName(out[1])
 
 
 def _changes(spark: SparkSession, d: str) -> DataFrame:
     address = F.nullif(F.upper(F.trim(F.regexp_replace("address", r"\s+", " "))), F.lit(""))
-    return snapshot_changes(table(spark, d, "pluto"), lot_number(F.col("bbl")), F.col("version"), VERSIONS, {"address": address, "yearbuilt": F.nullif(F.col("yearbuilt"), F.lit(0))})
+    pluto = table(spark, d, "pluto")
+    return snapshot_changes(pluto, lot_number(F.col("bbl")), F.col("version"), versions_in_order(pluto, "version"), {"address": address, "yearbuilt": F.nullif(F.col("yearbuilt"), F.lit(0))})
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
@@ -118,7 +140,7 @@ def p7_fields(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_near_counts, p3_found, p3_report, p5_found, p5_trailing, p6_found, p6_once, p7_found, p7_fields)}
+    return {f.__name__: f for f in (p1_found, p1_near_counts, p1_regions, p3_found, p3_report, p5_found, p5_trailing, p6_found, p6_once, p7_found, p7_fields)}
 
 
 _MK = r"case when regexp_full_match(regexp_replace({c}, '^\s+|\s+$', '', 'g'), '[0-9]+(\.0*)?') then coalesce(nullif(ltrim(regexp_replace(regexp_replace({c}, '^\s+|\s+$', '', 'g'), '\.0*$', ''), '0'), ''), '0') else nullif(regexp_replace({c}, '^\s+|\s+$', '', 'g'), '') end"
@@ -154,17 +176,25 @@ def oracle_sql() -> dict[str, str]:
       w as (select s.building_id, s.dd, cast(sum(coalesce(n, 0)) over (partition by s.building_id order by s.dd rows 6 preceding) as bigint) as total_7, cast(sum(coalesce(n, 0)) over (partition by s.building_id order by s.dd rows 29 preceding) as bigint) as total_30 from s left join dc on dc.building_id = s.building_id and dc.dd = s.dd)"""
     msgs = f"with m as (select 'nyc_311' as source_table, {sql_message_key('unique_key')} as message_id, run_id, strftime(ingested_at, '%Y-%m-%d %H:%M:%S') as ingested_at from nyc_311 union all select 'hpd', {sql_message_key('violationid')}, run_id, strftime(ingested_at, '%Y-%m-%d %H:%M:%S') from hpd)"
     changes = f"""
-      with p as (select distinct {sql_lot_number('bbl')} as bbl, list_position(['27v1','27v2','27v3','28v1'], version) as v, coalesce(nullif(upper(trim(regexp_replace(address, '\\s+', ' ', 'g'))), ''), '~') as a, coalesce(nullif(yearbuilt, 0), 0) as y from pluto),
+      with vs as (select list(version order by try_cast(regexp_extract(version, '^([0-9]+)', 1) as int), try_cast(regexp_extract(version, '([0-9]+)$', 1) as int), version) as vs from (select distinct version from pluto where version is not null)),
+      p as (select distinct {sql_lot_number('bbl')} as bbl, list_position((select vs from vs), version) as v, coalesce(nullif(upper(trim(regexp_replace(address, '\\s+', ' ', 'g'))), ''), '~') as a, coalesce(nullif(yearbuilt, 0), 0) as y from pluto),
       q as (select bbl, v, list_sort(list_distinct(list(a))) as a, list_sort(list_distinct(list(y))) as y from p where bbl is not null and v > 0 group by 1, 2),
-      j as (select coalesce(x.bbl, z.bbl) as bbl, coalesce(x.v, z.v - 1) as v, x.a as a1, z.a as a2, x.y as y1, z.y as y2 from (select * from q where v < 4) x full join (select * from q where v > 1) z on x.bbl = z.bbl and z.v = x.v + 1),
-      ch as (select bbl, ['27v1','27v2','27v3','28v1'][v] as version_from, ['27v1','27v2','27v3','28v1'][v + 1] as version_to, case when a1 is null then 'added' when a2 is null then 'removed' else 'changed' end as change_kind,
+      j as (select coalesce(x.bbl, z.bbl) as bbl, coalesce(x.v, z.v - 1) as v, x.a as a1, z.a as a2, x.y as y1, z.y as y2 from (select * from q where v < (select len(vs) from vs)) x full join (select * from q where v > 1) z on x.bbl = z.bbl and z.v = x.v + 1),
+      ch as (select bbl, (select vs from vs)[v] as version_from, (select vs from vs)[v + 1] as version_to, case when a1 is null then 'added' when a2 is null then 'removed' else 'changed' end as change_kind,
         case when a1 is null or a2 is null then '' when a1 <> a2 and y1 <> y2 then 'address,yearbuilt' when a1 <> a2 then 'address' else 'yearbuilt' end as changed_fields from j where a1 is null or a2 is null or a1 <> a2 or y1 <> y2)"""
     lot = sql_lot_number("bbl")
+    inside = f"""
+      with c as (select distinct {sql_message_key('unique_key')} as unique_key, latitude y, longitude x from nyc_311 where latitude between 40 and 41 and longitude between -75 and -73),
+      p as (select substr({lot}, 1, 6) as region, min(longitude) x0, max(longitude) x4, min(latitude) y0, max(latitude) y4 from pluto where latitude between 40 and 41 and longitude between -75 and -73 and {lot} is not null group by 1),
+      r as (select *, (x0 + x4) / 2 as x2, (y0 + y4) / 2 as y2 from p where x0 < x4 and y0 < y4),
+      k as (select *, x0 + (x2 - x0) * 0.25 as x1, x0 + (x2 - x0) * 0.75 as x3, y0 + (y2 - y0) * 0.25 as y1, y0 + (y2 - y0) * 0.75 as y3 from r)
+      select unique_key, min(region) as region from (select distinct unique_key, x, y, region from c join k on x between x0 and x4 and y between y0 and y4 and not (x > x2 and y > y2) and not (x > x1 and x < x3 and y > y1 and y < y3) where unique_key is not null) group by unique_key, x, y"""
     return {
+        "p1_regions": f"select distinct unique_key, region from ({inside})",
         "p1_found": near + " select distinct unique_key, bin from m where metres <= 25",
         "p1_near_counts": near + " select bin, case when metres <= 5 then '0-5' when metres <= 10 then '5-10' else '10-25' end as band, count(*) as complaints from m where metres <= 25 group by 1, 2",
         "p3_found": orphans + " select fact_table, event_id, field_name from o",
-        "p3_report": orphans + f""", k as (select 'PROP:' || {lot} as key, max(cast(version < '27v3' as int)) as b, max(cast(version > '27v3' as int)) as l, max(cast(version = '27v3' as int)) as n from pluto group by 1)
+        "p3_report": orphans + f""", k as (select 'PROP:' || {lot} as key, max(cast(version < (select max(snapshot_version) from dim_property) as int)) as b, max(cast(version > (select max(snapshot_version) from dim_property) as int)) as l, max(cast(version = (select max(snapshot_version) from dim_property) as int)) as n from pluto group by 1)
           select fact_table, field_name, "month", case when n = 1 then 'known_now' when b = 1 and l = 1 then 'known_before_and_later' when b = 1 then 'known_before' when l = 1 then 'known_later' else 'never_known' end as lot_status,
           count(*) as orphans, count(distinct ref_id) as distinct_ids from o left join k on k.key = o.ref_id group by 1, 2, 3, 4""",
         "p5_found": daily + " select building_id, strftime(dd, '%Y-%m-%d') as on_day from w where total_7 >= 4 and total_30 <= 20 and 15 * total_7 >= 7 * total_30",

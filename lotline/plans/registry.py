@@ -17,6 +17,10 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self._spark, self._folder = spark, folder
 
+    @property
+    def spark(self) -> SparkSession:
+        return self._spark
+
     def __getattr__(self, name: str) -> DataFrame:
         return table(self._spark, self._folder, name)
 

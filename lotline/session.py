@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -20,10 +22,13 @@ def get_spark(app: str = "lotline", master: str | None = None, **conf: str) -> S
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     for k, v in {**base, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         b = b.config(k, v)
-    return b.getOrCreate()
+    spark = b.getOrCreate()
+    _checkpoint_folder(spark)
+    return spark
 
 
 def sizing(input_gb: float, cores: int, memory_gb_per_core: float = 4.0) -> dict[str, str]:
@@ -61,13 +66,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _checkpoint_folder(spark: SparkSession) -> str | None:
+    """The folder of the session's ``spark.checkpoint.dir``; a temporary one where that is unset and all runs on one machine."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and sc.master.startswith("local"):
+            folder = tempfile.mkdtemp(prefix="lotline-ckpt-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        if folder:
+            sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the cluster's shared checkpoint folder and cut its lineage.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset (tests, one machine)
-    a temporary one is made.
+    The folder is the session's ``spark.checkpoint.dir``; a cluster without one is an error, since a machine's own folder
+    is lost with the machine. The files go when the frame is no longer used (get_spark's session), or by ``drop_cuts``.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lotline-ckpt-"))
+    if _checkpoint_folder(df.sparkSession) is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
     return df.checkpoint(eager=True)
+
+
+def drop_cuts(spark: SparkSession) -> None:
+    """Delete what ``cut`` has written in this application; frames made of it can't be read any more."""
+    folder = spark.sparkContext.getCheckpointDir()
+    if folder:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        for s in fs.listStatus(path) if fs.exists(path) else []:
+            fs.delete(s.getPath(), True)

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from lotline.functions.keys import is_sequence_key
-from lotline.operators.once import RANGES, accept_new
+from lotline.operators.once import BLOCK_BITS, RANGES, accept_new
 from lotline.operators.trailing import correct_nodes, tree_nodes
-from lotline.sources.readers import exists
+from lotline.sources.readers import _fs, finished_folders
 
 
 def once_within(df: DataFrame, key: str, event_time: str, delay: str) -> DataFrame:
@@ -24,32 +24,63 @@ def counts_by_window(df: DataFrame, event_time: str, entity: str, width: str = "
     return df.withWatermark(event_time, delay).groupBy(F.window(event_time, width).alias("w"), entity).agg(F.count(F.lit(1)).alias("n")).select(entity, F.col("w.start").alias("window_start"), "n")
 
 
+#: A store writes all blocks again after so many batches, and then forgets older ones.
+COMPACT_EVERY = 32
+
+
 class SeenStore:
-    """Seen ranges and odd keys in a folder, one version for each batch; a batch that comes again replaces its own version."""
+    """Seen ranges and odd keys in a folder. Each batch writes only the blocks it touched, newer versions of a block count.
+
+    Now and then all blocks are written together and folders before that are deleted. A batch that comes again replaces
+    its own folder.
+    """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root
 
-    def load(self, kind: str, schema: str, before: int) -> DataFrame:
-        for k in range(before - 1, -1, -1):
-            if exists(self.spark, f"{self.root}/{kind}/batch={k}/_SUCCESS"):
-                return self.spark.read.schema(schema).parquet(f"{self.root}/{kind}/batch={k}")
-        return self.spark.createDataFrame([], schema)
+    def _finished(self, kind: str, before: int) -> list[int]:
+        numbers = [int(f.rsplit("=", 1)[1]) for f in finished_folders(self.spark, f"{self.root}/{kind}/batch=*")]
+        return sorted(n for n in numbers if n < before)
+
+    def ranges(self, before: int) -> DataFrame:
+        """The disjoint ranges of all batches before one: of each block those of its newest version."""
+        done = self._finished("ranges", before)
+        if not done:
+            return self.spark.createDataFrame([], RANGES)
+        every = self.spark.read.option("basePath", f"{self.root}/ranges").schema(f"{RANGES}, batch bigint").parquet(*[f"{self.root}/ranges/batch={n}" for n in done])
+        newest = every.groupBy("producer", "block").agg(F.max("batch").alias("batch"))
+        return every.join(newest, ["producer", "block", "batch"]).drop("batch")
+
+    def odd(self, before: int) -> DataFrame:
+        done = self._finished("odd", before)
+        schema = "producer string, key string"
+        return self.spark.read.schema(schema).parquet(*[f"{self.root}/odd/batch={n}" for n in done]) if done else self.spark.createDataFrame([], schema)
 
     def save(self, df: DataFrame, kind: str, batch: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.root}/{kind}/batch={batch}")
 
+    def forget(self, kind: str, before: int) -> None:
+        """Delete the folders of batches before one."""
+        fs, _ = _fs(self.spark, self.root)
+        for n in self._finished(kind, before):
+            fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{kind}/batch={n}"), True)
+
 
 def accept_batch(spark: SparkSession, batch: DataFrame, number: int, state: str, newest: list[Column], out: str) -> None:
     """Append to ``out`` the messages (producer, key, ...) of a batch that no batch before had; idempotent for a batch."""
     store = SeenStore(spark, state)
-    seen = store.load("ranges", RANGES, number)
-    odd = store.load("odd", "producer string, key string", number)
-    fresh, ranges = accept_new(batch.where("key is not null"), seen, odd, newest)
+    seen, odd = store.ranges(number), store.odd(number)
+    keyed = batch.where("producer is not null and key is not null")
+    fresh, ranges = accept_new(keyed, seen, odd, newest)
     fresh.write.mode("overwrite").parquet(f"{out}/batch={number}")
-    store.save(ranges, "ranges", number)
-    odd_new = batch.where(F.col("key").isNotNull() & ~is_sequence_key(F.col("key"))).select("producer", "key")
-    store.save(odd.unionByName(odd_new).distinct(), "odd", number)
+    whole = number > 0 and number % COMPACT_EVERY == 0
+    touched = keyed.where(is_sequence_key(F.col("key"))).select("producer", F.shiftright(F.col("key").cast("bigint"), BLOCK_BITS).alias("block")).distinct()
+    store.save(ranges if whole else ranges.join(touched, ["producer", "block"], "left_semi").select(*ranges.columns), "ranges", number)
+    odd_new = keyed.where(~is_sequence_key(F.col("key"))).select("producer", "key")
+    store.save(odd.unionByName(odd_new).distinct() if whole else odd_new.distinct(), "odd", number)
+    if whole:  # the batch before stays, should this one come again
+        for kind in ("ranges", "odd"):
+            store.forget(kind, number - COMPACT_EVERY)
 
 
 def run_once_stream(stream: DataFrame, state: str, out: str, checkpoint: str, newest: list[Column]) -> StreamingQuery:

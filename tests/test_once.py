@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lotline.functions.keys import lot_number, message_key
-from lotline.operators.once import RANGES, accept_new, keep_one, repeated_messages, seen_ranges, sweep, to_ranges
+from lotline.operators.once import RANGES, accept_new, deliver_once, keep_one, merge_ranges, repeated_messages, seen_ranges, sweep, to_ranges
 
 MSG = "producer string, key string, body string"
 
@@ -56,3 +56,27 @@ def test_accept_across_batches(spark):
 def test_keep_one_ties_and_nulls(spark):
     df = spark.createDataFrame([(1, "a", 1), (1, "b", 1), (1, "b", 1), (2, None, None), (None, "z", 9)], "k int, v string, n int")
     assert sorted(map(tuple, keep_one(df, F.col("k"), [F.col("n")]).collect()), key=str) == [(1, "b", 1), (2, None, None)]
+
+
+def test_deliver_once(spark):
+    rows = [("a", "5", "x")] * 50 + [("a", str(k), "y") for k in range(100)] + [("a", "odd", "1"), ("a", "odd", "2"), ("a", "o", "3"), ("b", "5", "only"), ("b", str(10**17), "far"), ("b", str(10**17), "late"), (None, "5", "z"), ("a", None, "z")]
+    df = spark.createDataFrame(rows, MSG).repartition(5)
+    got = sorted(map(tuple, deliver_once(df, F.col("producer"), F.col("key"), [F.col("body")]).collect()))
+    want = {}
+    for p, k, b in rows:
+        if p and k:
+            want[p, k] = max(want.get((p, k), ""), b)
+    assert got == sorted((p, k, b) for (p, k), b in want.items())
+    assert deliver_once(df.limit(0), F.col("producer"), F.col("key"), []).count() == 0
+
+
+def test_sparse_blocks_stream_through(spark):
+    """One number a block, every block twice, over many batches: nothing is lost where a batch ends."""
+    rows = [("p", k, k << 16, k << 16, 1) for k in range(3000)] * 2 + [("q", 0, 0, 65535, 1), ("q", 1, 65536, 65540, 1)]
+    df = spark.createDataFrame(rows, RANGES).repartition(3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = sorted(map(tuple, merge_ranges(df).collect()))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == sorted([("p", k, k << 16, k << 16, 2) for k in range(3000)] + rows[-2:])

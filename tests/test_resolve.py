@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 
 import pytest
@@ -93,7 +94,7 @@ def test_grid_finds_every_pair(spark):
     assert set(got) == want
 
 
-@pytest.mark.parametrize("n,d1,d2,want", [(1, 24.0, None, "GEO_UNIQUE"), (1, 26.0, None, None), (2, 9.0, 30.0, "GEO_DOMINANT"), (2, 9.0, 28.0, None), (2, 11.0, 80.0, None)])
+@pytest.mark.parametrize("n,d1,d2,want", [(1, 24.0, None, "GEO_UNIQUE_25M"), (1, 26.0, None, None), (2, 9.0, 30.0, "GEO_DOMINANT_10M"), (2, 9.0, 28.0, None), (2, 11.0, 80.0, None)])
 def test_geo_rules(spark, n, d1, d2, want):
     df = spark.createDataFrame([(n, d1, d2)], "n int, a double, b double")
     assert df.select(R.geo_method(F.col("n"), F.col("a"), F.col("b"))).first()[0] == want
@@ -165,6 +166,68 @@ def test_fuzzy_match_of_streets_beyond_their_first_letters(spark, tmp_path):
     here = [("7 AOKFIELD STREET", "BRONX"), ("8 STREET OAKFIELD", "BRONX"), ("9 BIRCH AVENUE", "BRONX"), (None, "BRONX")]
     spark.createDataFrame(lots, "property_address string, borough string").write.parquet(str(tmp_path / "dim_property.parquet"))
     spark.createDataFrame(here, "current_address string, borough string").write.parquet(str(tmp_path / "building_identity.parquet"))
-    got = {(r["query"], r.street, r.boro) for r in catalog.queries()["q42b_fuzzy_token_match"](spark, str(tmp_path)).collect()}
+    got = {(r["query"], r.street, r.boro) for r in catalog.queries()["q42_fuzzy_token_match"](spark, str(tmp_path)).collect()}
     oaks = {(q, s, "BRONX") for q in ("AOKFIELD ST", "ST OAKFIELD") for s in ("OAKFIELD ST", "OLD OAKFIELD ST")}
     assert got == oaks | {("BIRCH AVE", "BIRCH AVE", "BRONX")}
+
+
+@pytest.mark.parametrize("lat,lon,metres", [(40.7, -74.0, 100), (70.0, 25.0, 100), (89.999, 10.0, 100), (-75.0, 179.9999, 100), (0.0, 180.0, 5000), (60.5, -179.99, 2000)])
+def test_grid_loses_no_pair_at_any_latitude(spark, lat, lon, metres):
+    from lotline.operators.spatial import haversine
+
+    rng = random.Random(2)
+    spread = metres / 111_000 * 2.2
+    pts = []
+    for k in range(70):
+        y = max(-90.0, min(90.0, lat + rng.uniform(-spread, spread)))
+        x = lon + rng.uniform(-spread, spread) / max(0.01, math.cos(math.radians(lat)))
+        pts.append((k, y, (x + 180) % 360 - 180))
+    a, b = spark.createDataFrame(pts, "i int, la double, lo double"), spark.createDataFrame([*pts, (99, None, 1.0), (98, float("nan"), 1.0)], "j int, lb double, lob double")
+    want = {(p[0], q[0]) for p in pts for q in pts if haversine(p[1], p[2], q[1], q[2]) <= metres}
+    got = [(r.i, r.j) for r in R.grid_pairs(a, b, metres, ("la", "lb"), ("lo", "lob")).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert len(want) > 100
+
+
+def test_missing_coordinates_have_no_distance(spark):
+    df = spark.createDataFrame([(40.0, -74.0, 40.0, -74.0), (None, -74.0, 40.0, -74.0), (40.0, -74.0, 40.0, None)], "a double, b double, c double, d double")
+    assert [r[0] for r in df.select(N.haversine(*map(F.col, "abcd"))).collect()] == [0.0, None, None]
+    far = spark.createDataFrame([(0.0, 0.0, 0.0, 180.0)], "a double, b double, c double, d double")
+    assert far.select(N.haversine(*map(F.col, "abcd"))).first()[0] == pytest.approx(math.pi * 6_371_000)
+
+
+def test_geo_profile_of_ties(spark):
+    rows = [("e", "b2", 5.0), ("e", "b1", 5.0), ("e", "b3", 9.0), ("e", "b1", 7.0), ("f", "b1", 1.0)]
+    got = {tuple(r) for r in R.geo_profile(spark.createDataFrame(rows, "k string, c string, distance_m double"), "k", "c").collect()}
+    assert got == {("e", 3, "b1", 5.0, 5.0), ("f", 1, "b1", 1.0, None)}
+
+
+def test_every_asked_key_is_classified(spark):
+    scored = spark.createDataFrame([("one", "c1", 100, 5.0, True, True, True, 1.0)], "k string, c string, score int, distance double, house boolean, street boolean, same_borough boolean, similarity double")
+    asked = spark.createDataFrame([("one", True), ("none", True), ("blank", False)], "k string, has_input boolean")
+    got = {r.k: (r.c, r.status, r.confidence) for r in R.classify_candidates(scored, "k", "c", asked).collect()}
+    assert got == {"one": ("c1", "AUTO_RESOLVED", "HIGH"), "none": (None, "NO_CANDIDATE", "NONE"), "blank": (None, "NO_INPUT", "NONE")}
+
+
+def test_event_cascade_stages(spark, tmp_path):
+    """One complaint for each method and reason, and the arbitration of its lot."""
+    from lotline.plans import catalog
+
+    call = "unique_key string, created_date timestamp, closed_date timestamp, agency string, complaint_type string, status string, incident_address string, borough string, city string, bbl string, latitude double, longitude double, run_id string, ingested_at timestamp"
+    rows = [("1", "x", "BRONX", "2000000001", None), ("2", "12 West Oak Street", "bronx", "2000000002", None), ("3", "9 Elm Ave", "BX", None, None), ("4", None, "BRONX", "2000000009", 40.7001), ("5", None, "BRONX", "bad", 40.7101), ("6", None, "QUEENS", None, 40.7001), (" 1.0 ", "y", "BRONX", None, None), (None, "z", "BRONX", None, None)]
+    calls = [(k, None, None, "HPD", "noise", "open", a, b, None, lot, la, -74.0 if la else None, f"run{i}", None) for i, (k, a, b, lot, la) in enumerate(rows)]
+    # the same message again, older
+    calls[6] = (*calls[6][:12], "run", None)
+    spark.createDataFrame(calls, call).write.parquet(str(tmp_path / "nyc_311.parquet"))
+    who = "bin string, current_bbl string, resolved_bbl string, bbl_aliases array<string>, current_address string, address_aliases array<string>, borough string, latitude double, longitude double"
+    b = [("B1", "2000000001", None, None, "1 A St", None, "2", None, None), ("B2", "2000000002", None, [], "12 W OAK ST", None, "BRONX", None, None), ("B3", "2000000002", None, None, "13 W OAK ST", ["9 ELM AVENUE"], "BX", None, None), ("B4", None, None, None, None, None, "BRONX", 40.7, -74.0), ("B5", None, None, None, None, None, "BRONX", 40.71005, -74.0), ("B6", None, None, None, None, None, "BRONX", 40.7105, -74.0)]
+    spark.createDataFrame(b, who).write.parquet(str(tmp_path / "building_identity.parquet"))
+    got = {r.unique_key: (r.bbl_resolution_reason, r.resolved_bin, r.match_method, r.resolution_status) for r in catalog.queries()["q38_event_resolution_cascade"](spark, str(tmp_path)).collect()}
+    assert got == {
+        "1": ("UNIQUE_BBL", "B1", "UNIQUE_BBL", "RESOLVED"),
+        "2": ("MULTI_BIN_BBL", "B2", "BBL_EXACT_ADDRESS", "RESOLVED"),
+        "3": ("MISSING_BBL", "B3", "EXACT_ADDRESS_BOROUGH", "RESOLVED"),
+        "4": ("BBL_NOT_FOUND", "B4", "GEO_UNIQUE_25M", "AUTO_RESOLVED"),
+        "5": ("MISSING_BBL", "B5", "GEO_DOMINANT_10M", "AUTO_RESOLVED"),
+        "6": ("MISSING_BBL", None, None, None),
+    }

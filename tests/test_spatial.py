@@ -82,3 +82,44 @@ def test_regions_share_boundaries(spark):
     assert first == {(0.5, 0.5): "a", (1.0, 0.5): "a", (1.5, 0.5): "b", (10.5, 1.5): "l", (11.0, 1.0): "l"}
     every = S.containing_regions(pts, regions, "all").where("x = 1.0 and y = 0.5").collect()
     assert {r.region for r in every} == {"a", "b"}
+
+
+def test_holes_and_several_polygons(spark):
+    square = lambda x, y, s: [dict(x=x + a * s, y=y + b * s) for a, b in ((0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0))]
+    rows = [("a", square(0.0, 0.0, 10.0), [square(2.0, 2.0, 2.0), square(6.0, 5.0, 3.0)]), ("a", square(20.0, 0.0, 1.0), None), ("bad", [dict(x=0.0, y=0.0), dict(x=1.0, y=1.0), dict(x=1.0, y=0.0), dict(x=0.0, y=1.0)], None), ("half", [dict(x=0.0, y=None)] * 3, []), ("out", square(0.0, 30.0, 1.0), [square(50.0, 50.0, 1.0)])]
+    p = "array<struct<x:double,y:double>>"
+    regions = spark.createDataFrame(rows, f"region string, ring {p}, holes array<{p}>")
+    rng = random.Random(6)
+    pts = [(rng.uniform(-1, 11), rng.uniform(-1, 11)) for _ in range(400)] + [(2.0, 3.0), (4.0, 4.0), (20.5, 0.5), (10.0, 10.0), (3.0, 2.0), (6.0, 6.0)]
+    inside = lambda x, y: (0 <= x <= 10 and 0 <= y <= 10 and not (2 < x < 4 and 2 < y < 4) and not (6 < x < 9 and 5 < y < 8)) or (20 <= x <= 21 and 0 <= y <= 1)
+    got = {(r.x, r.y) for r in S.containing_regions(spark.createDataFrame(pts, "x double, y double"), regions.where("region = 'a'")).collect()}
+    assert got == {q for q in pts if inside(*q)}
+    errors = {r.region: r.error for r in S.bad_regions(regions).collect()}
+    assert set(errors) == {"bad", "half"} or set(errors) == {"bad", "half", "out"}
+    assert S.containing_regions(spark.createDataFrame(pts, "x double, y double"), regions).count() == len(got)
+
+
+def test_no_point_falls_between_triangles():
+    """Points on and beside slanted shared edges of big coordinates lie in at least one triangle."""
+    rng = random.Random(8)
+    ring = [(-73.0 - math.cos(2 * math.pi * k / 17) * r, 40.0 + math.sin(2 * math.pi * k / 17) * r) for k, r in ((k, rng.uniform(0.2, 1)) for k in range(17))]
+    tri = np.array(S.ear_clip(ring)).reshape(-1, 6)
+    pts = []
+    for t in tri.reshape(-1, 3, 2):
+        for i in range(3):
+            for _ in range(40):
+                w = rng.random()
+                pts.append(t[i] * w + t[(i + 1) % 3] * (1 - w))
+    edges = {tuple(sorted((tuple(a), tuple(b)))) for a, b in zip(ring, ring[1:] + ring[:1], strict=True)}
+    inner = [k for k, q in enumerate(pts) if tuple(sorted((tuple(tri.reshape(-1, 3, 2)[k // 120][k // 40 % 3]), tuple(tri.reshape(-1, 3, 2)[k // 120][(k // 40 + 1) % 3])))) not in edges]
+    p, _ = S.TriangleTree(tri).probe(np.array(pts))
+    assert len(inner) > 500
+    assert set(inner) <= set(p.tolist())
+
+
+def test_cells_grow_with_the_data(spark, monkeypatch):
+    """Far more cells than 4,096 for as many units of points, and no pair is lost."""
+    monkeypatch.setattr(S, "UNIT_POINTS", 1)
+    pts = spark.range(6000).selectExpr("-74 + (id % 80) * 0.001 as x", "40.5 + floor(id / 80) * 0.001 as y")
+    places = spark.createDataFrame([("a", -73.97, 40.52), ("b", -73.99, 40.51)], "place string, x double, y double")
+    assert {r.place for r in S.near_points(pts, places, 5).collect()} == {"a", "b"}

@@ -9,8 +9,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from lotline.operators.orphans import missing_keys, orphan_references, orphan_report
-from lotline.operators.snapshots import snapshot_changes
-from lotline.operators.trailing import SegmentForest, correct_nodes, daily_counts, last_day, trailing_totals, tree_nodes
+from lotline.operators.snapshots import snapshot_changes, versions_in_order
+from lotline.operators.trailing import SegmentForest, correct_nodes, daily_counts, last_day, totals_of_nodes, trailing_totals, tree_nodes
 
 
 def test_missing_keys(spark):
@@ -90,3 +90,52 @@ def test_snapshots(spark):
     got = {tuple(r) for r in ch.collect()}
     assert got == {("1", "v2", "v3", "changed", "a,y"), ("2", "v1", "v2", "removed", ""), ("2", "v2", "v3", "added", ""), ("3", "v1", "v2", "added", ""), ("3", "v2", "v3", "changed", "y")}
     assert snapshot_changes(df.limit(0), F.col("k"), F.col("v"), ["v1", "v2"], {"a": F.col("a")}).count() == 0
+
+
+def test_versions_come_from_the_data(spark):
+    rows = [("k", v) for v in ("27v10", "27v2", "28v1", "27v2", "9v3")] + [("k", None)]
+    df = spark.createDataFrame(rows, "k string, v string")
+    assert versions_in_order(df, "v") == ["9v3", "27v2", "27v10", "28v1"]
+    assert versions_in_order(df.limit(0), "v") == []
+
+
+def test_stored_trees_answer_after_corrections(spark):
+    """Totals from corrected nodes are those of all events counted anew, values too, before 1970 too."""
+    rng = random.Random(3)
+    early = [(rng.choice("abc"), rng.randint(-400, 90), rng.randint(1, 9) / 4) for _ in range(120)]
+    late = [(rng.choice("abcd"), rng.randint(-380, 130), rng.randint(1, 9) / 4) for _ in range(40)]
+    frame = lambda rows: spark.createDataFrame(rows, "e string, d int, v double").withColumn("at", F.date_from_unix_date("d"))
+    daily = lambda rows: daily_counts([(frame(rows), "e", F.col("at"), F.col("v"))])
+    nodes = correct_nodes(tree_nodes(daily(early), 32), daily(late), 32)
+    got = {tuple(r) for r in totals_of_nodes(nodes, (7, 45), shard_days=32, entities_per_group=2).collect()}
+    counted = trailing_totals(daily(early + late), (7, 45), shard_days=32).collect()
+    want = {tuple(r) for r in counted}
+    assert got == want
+    every = {}
+    for e, d, v in early + late:
+        n, s = every.get((e, d), (0, 0.0))
+        every[e, d] = n + 1, s + v
+    rows = {(r.entity, r.day): r for r in counted}
+    end, days = max(d for _, d in every), {e: min(d for x, d in every if x == e) for e, _ in every}
+    assert set(rows) == {(e, d) for e, first in days.items() for d in range(first, end + 1)}
+    for (e, d), r in rows.items():
+        for w in (7, 45):
+            there = [every.get((e, x), (0, 0.0)) for x in range(d - w + 1, d + 1)]
+            assert r[f"total_{w}"] == sum(n for n, _ in there)
+            assert abs(r[f"value_{w}"] - sum(v for _, v in there)) < 1e-9
+            assert abs(r[f"value_avg_{w}"] * w - r[f"value_{w}"]) < 1e-9
+    changed = correct_nodes(tree_nodes(daily(early), 32), daily(late), 32, only_changed=True)
+    assert changed.count() == tree_nodes(daily(late), 32).count() < nodes.count()
+
+
+def test_days_before_1970_end_there(spark):
+    daily = spark.createDataFrame([("a", -100, 1)], "entity string, day int, n int")
+    assert trailing_totals(daily).count() == 1
+    assert trailing_totals(daily, until=-90).count() == 11
+
+
+def test_probe_of_long_and_foreign_keys(spark):
+    keys = ["é", "a\0", "a", "x" * 100, "zz", "Z", "\U0001f600", ""]
+    parents = spark.createDataFrame([("k", k) for k in keys[::2]], "kind string, key string")
+    refs = spark.createDataFrame([("k", k) for k in keys], "kind string, key string")
+    assert {r.key for r in missing_keys(refs, parents).collect()} == set(keys[1::2])
