@@ -7,13 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotline.functions.keys import lot_number, message_key
+from lotline.functions.keys import lot_number, message_key, not_blank
 from lotline.operators.once import deliver_once, repeated_messages
 from lotline.operators.orphans import orphan_references, orphan_report
 from lotline.operators.snapshots import snapshot_changes, versions_in_order
 from lotline.operators.spatial import containing_regions, near_points
-from lotline.operators.trailing import daily_counts, last_day, trailing_totals
-from lotline.session import table
+from lotline.operators.trailing import daily_counts, trailing_totals
+from lotline.session import cut, table
 
 NEAR_M = 25.0
 LAT, LON = (40.0, 41.0), (-75.0, -73.0)
@@ -90,7 +90,9 @@ def _trailing(spark: SparkSession, d: str, keep=None) -> DataFrame:
         (table(spark, d, "fact_hpd_violation"), "building_id", F.col("inspectiondate")),
         (table(spark, d, "fact_dob_violation"), "building_id", F.col("violation_issue_date")),
     ]
-    return trailing_totals(daily_counts(events), (7, 30), keep, until=last_day(events))
+    every = cut(daily_counts(events, blank=True))  # the facts are read once; the last day may be that of an event without a building
+    until = every.agg(F.max("day")).first()[0]
+    return trailing_totals(every.where(not_blank(F.col("entity"))), (7, 30), keep, until=until)
 
 
 def _day(c: str = "day"):
