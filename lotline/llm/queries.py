@@ -86,23 +86,31 @@ def p2_matches(spark: SparkSession, d: str) -> DataFrame:
         .distinct()
     )
     rows = lots.withColumn("side", F.lit("street")).unionByName(building_lines(spark, d, zips)).unionByName(_with_borough(calls, zips, F.col("b"), "incident_zip", "incident_address", F.col("record"), "record"))
-    by_address = link_addresses(read_all(rows)).select(F.col("record_id").alias("record"), F.col("target_id").alias("target"))
+    by_address = link_addresses(read_all(rows)).select(F.col("record_id").alias("record"), F.col("target_id").alias("target"), F.col("probability").alias("similarity"))
 
     b = table(spark, d, "building_identity")
     lots_of = F.explode(F.array_distinct(F.concat(F.array("current_bbl"), F.coalesce("bbl_aliases", F.array().cast("array<string>")))))
-    carried = b.select("bin", lots_of.alias("bbl")).select("bin", lot_number(F.col("bbl")).alias("lot")).where("lot is not null and bin is not null").groupBy("lot").agg(F.min("bin").alias("target"), F.max("bin").alias("other")).where("target = other").select("lot", "target")
+    owned = b.select("bin", lots_of.alias("bbl")).select("bin", lot_number(F.col("bbl")).alias("lot")).where("lot is not null and bin is not null").distinct()
+    carried = owned.groupBy("lot").agg(F.min("bin").alias("target"), F.max("bin").alias("other")).where("target = other").select("lot", "target")
     by_key = calls.select("record", "lot").where("lot is not null").join(carried, "lot").select("record", "target")
 
-    points = calls.select("record", "x", "y").where("x is not null and y is not null")
+    points = calls.select("record", "lot", "x", "y").where("x is not null and y is not null").distinct()
     places = b.where(IN_CITY).select(F.col("bin").alias("place"), F.col("longitude").alias("x"), F.col("latitude").alias("y"))
-    by_place = points.join(near_points(points, places, NEAR_M), ["x", "y"]).select("record", F.col("place").alias("target"), "metres")
+    near = near_points(points, places, NEAR_M).join(b.select(F.col("bin").alias("place"), F.coalesce(lot_number(F.col("current_bbl")), F.lit("")).alias("own")), "place")
+    by_place = points.join(near, ["x", "y"]).select("record", F.col("place").alias("target"), "metres", _lot_similarity(F.col("lot"), F.col("own")).alias("similarity"))
 
     has = calls.select("record", F.coalesce(F.col("incident_address").rlike("[0-9]"), F.lit(False)).alias("has_address"), F.col("lot").isNotNull().alias("has_key"), F.col("x").isNotNull().alias("has_point"))
     return match_entities(by_address, by_key, by_place, has, SAME_M).select(F.col("record").alias("unique_key"), F.col("target").alias("bin"), "method", "confidence")
 
 
+def _lot_similarity(a: Column, b: Column) -> Column:
+    """Lot numbers by their parts: 0.8 for the same lot (others may carry it too), 0.5 for the same block, 0.2 for the same borough."""
+    same = lambda n: F.substring(a, 1, n) == F.substring(b, 1, n)
+    return F.when(same(10), 0.8).when(same(6), 0.5).when(same(1), 0.2).otherwise(0.0)
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    return p2_matches(spark, d).select("unique_key", "bin")
+    return p2_matches(spark, d).where("method <> 'UNCONFIRMED'").select("unique_key", "bin")
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
