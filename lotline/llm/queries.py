@@ -11,7 +11,7 @@ from lotline.functions.keys import lot_number, message_key
 from lotline.llm.address import borough_code, read_addresses
 from lotline.llm.entities import match_entities
 from lotline.llm.linkage import link_addresses, zip_boroughs
-from lotline.llm.mixing import mix_sources, sized_documents
+from lotline.llm.mixing import mix_sources, planned_shares, sized_documents
 from lotline.llm.quality import common_words, judge, text_statistics
 from lotline.llm.tokens import count_tokens, encode_documents, vocabulary
 from lotline.operators.spatial import near_points
@@ -130,6 +130,11 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return _mixed(spark, d)[1]
 
 
+def p9_plan(spark: SparkSession, d: str) -> DataFrame:
+    """What is wanted of each source, before anything is drawn."""
+    return planned_shares(table(spark, d, "mix_plan")).select("mix_name", "source_key", "cap", "size_share", "wanted_share")
+
+
 def _judged(spark: SparkSession, d: str) -> DataFrame:
     words, han = common_words(table(spark, d, "common_word"))
     return judge(text_statistics(table(spark, d, "documents").select("doc_id", "text"), "text", words, han))
@@ -146,7 +151,7 @@ def p10_statistics(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_matches, p4_found, p4_links, p8_ids, p9_draws, p9_shares, p10_found, p10_statistics)}
+    return {f.__name__: f for f in (p2_found, p2_matches, p4_found, p4_links, p8_ids, p9_draws, p9_shares, p9_plan, p10_found, p10_statistics)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -4,20 +4,54 @@ import math
 
 import pytest
 
-from lotline.llm.mixing import fill, find_rate, mix_sources, poisson_steps, source_key
+from lotline.llm.mixing import fill, mean_copies, mix_sources, poisson_steps, rate_for, source_key
 
 
 def test_poisson():
-    steps = poisson_steps(1.3, 50)
+    least, steps = poisson_steps(1.3, 50)
+    assert least == 0
     assert steps[0] == pytest.approx(math.exp(-1.3))
     assert steps[2] == pytest.approx(math.exp(-1.3) * (1 + 1.3 + 1.3**2 / 2))
-    hist = [((b + 0.5) / 1000, 10) for b in range(1000)]
-    rate = find_rate(hist, 13000, 50)
-    assert rate == pytest.approx(1.3, abs=0.02)
-    assert find_rate(hist, 20000, 2) is None
+    assert mean_copies(1.3, 50) == pytest.approx(1.3)
+    assert mean_copies(1.3, 1) == pytest.approx(1 - math.exp(-1.3))
+    for mean, cap in ((1e-7, 1), (0.3, 1), (2.5, 3), (40.0, 1000), (90_000.0, 1_000_000)):
+        assert mean_copies(rate_for(mean, cap), cap) == pytest.approx(mean, rel=1e-6)
+    assert rate_for(2.0, 2) is None
+    least, steps = poisson_steps(250_000.0, 1_000_000)  # no array as long as the number of repeats
+    assert least > 200_000 and len(steps) < 20_000
     assert fill({"a": 1, "b": 1, "c": 2}, {"a": 5, "b": 100, "c": 100}, 100) == {"a": 5, "b": pytest.approx(95 / 3), "c": pytest.approx(190 / 3)}
 
 
+def test_small_shares_are_drawn(spark):
+    """A ten-thousandth of a source, and less, comes out at its size, and equal documents are not drawn alike."""
+    sized = spark.range(300_000).selectExpr("id as doc_id", "'s' as source", "10 as n_tokens")
+    kinds = "mix_name string, source string, weight double, max_repeats int, size_share double"
+    wanted = [0.0001, 0.00002, 0.015, 0.5, 2.5]
+    plan = spark.createDataFrame([(f"m{i}", "s", 1.0, 4, w) for i, w in enumerate(wanted)], kinds)
+    draws, report = mix_sources(sized, plan)
+    got = {r.mix_name: r for r in report.collect()}
+    for i, w in enumerate(wanted):
+        assert abs(got[f"m{i}"].tokens - w * 3_000_000) <= 10, (w, got[f"m{i}"])
+    assert draws.where("mix_name = 'm4'").agg({"copy": "max"}).first()[0] == 4
+
+
+def test_uneven_documents_meet_the_size(spark):
+    """Sizes that differ by powers of ten: what is drawn, not only what is expected, has the wanted size."""
+    sized = spark.range(40_000).selectExpr("id as doc_id", "if(id % 3 = 0, 'a', 'b') as source", "cast(pow(10, (id * 7919 % 1000) / 250.0) as int) as n_tokens")
+    plan = spark.createDataFrame([("m", "a", 1.0, 2, 0.3), ("m", "b", 2.0, 5, 0.3)], "mix_name string, source string, weight double, max_repeats int, size_share double")
+    for r in mix_sources(sized, plan)[1].collect():
+        assert r.tokens == pytest.approx(r.planned_tokens, rel=0.001)
+
+
+def test_long_plans_and_caps(spark):
+    """More rows than any plan is likely to have, and a number of repeats that is none."""
+    sized = spark.range(5_000).selectExpr("id as doc_id", "concat('s', id % 2500) as source", "1 as n_tokens")
+    plan = spark.range(2_500).selectExpr("'m' as mix_name", "concat('s', id) as source", "1.0 as weight", "2000000000 as max_repeats", "0.5 as size_share")
+    rep = mix_sources(sized, plan)[1]
+    assert rep.count() == 2_500
+    assert rep.agg({"tokens": "sum"}).first()[0] == pytest.approx(2_500, rel=0.15)
+
+
 def test_mix(spark):
     docs = [(k, ["big", " Big", "SMALL-ONE", "small_one", None, "other"][k % 6] if k % 100 else "tiny", 10 + k % 7) for k in range(6000)] + [(10_000, "big", None), (10_001, " ", 5)]
     sized = spark.createDataFrame(docs, "doc_id bigint, source string, n_tokens int")
