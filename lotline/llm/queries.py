@@ -146,7 +146,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p10_statistics(spark: SparkSession, d: str) -> DataFrame:
     return _judged(spark, d).select(
-        "doc_id", "kind", F.array_join("reasons", ",").alias("reasons"), "n_words", "n_lines", "mean_word_length", "symbol_share", "ended_line_share", "bullet_line_share", "common_share"
+        "doc_id", "kind", F.array_join("reasons", ",").alias("reasons"), F.array_join("published_failures", ",").alias("published_failures"), "n_words", "n_lines", "mean_word_length", "symbol_share", "ended_line_share", "bullet_line_share", "common_share"
     )
 
 
