@@ -275,7 +275,7 @@ def rules() -> dict[str, dict[str, Column]]:
             "unbroken_tokens": (c("mean_token") >= 20) & (c("han_share") < 0.2) & ~regular,
             "symbols": (c("symbol_share") >= 0.25) & ~regular & (c("letter_share") < 0.6) & (c("separators") * 8 < c("n_tokens_ws")),
             "few_letters": (c("letter_share") < 0.6) & (c("n_lines") < 4) & ~entries & spaced,
-            "few_common_words": ~regular & spaced & ~entries & (c("n_words") >= 6) & (c("common_share") < 0.15) & ((c("n_lines") <= 2) | (c("mean_line_words") >= 9)),
+            "few_common_words": ~regular & spaced & ~entries & (((c("n_words") >= 14) & (c("common_share") < 0.15)) | ((c("n_words") >= 6) & (c("common_share") < 0.1))) & ((c("n_lines") <= 2) | (c("mean_line_words") >= 9)),
             "no_common_words": ~regular & spaced & ~entries & (c("n_words") >= 5) & (c("common_words") == 0) & (c("n_lines") <= 2),
             "repeated_words": (c("n_words") >= 6) & (c("distinct_word_share") < 0.2) & (c("n_lines") <= 2) & ~entries & (c("distinct_common") <= 2) & spaced,
         },
