@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lotline.session import ship
+
 # Words of street names and the ways they are shortened.
 SUFFIXES = {
     "STREET": "ST STR STRT",
@@ -251,6 +253,8 @@ def read_addresses(df: DataFrame, line: str, keep: list[str]) -> DataFrame:
     NULL and empty lines have no house and an empty street. One narrow pass, no shuffle.
     """
 
+    ship(df.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = lru_cache(maxsize=100_000)(read_line)
         for b in batches:
@@ -265,6 +269,7 @@ def forms_of(streets: DataFrame) -> DataFrame:
     """(borough, street, ..., rank, core, pre, suf, blocks) for each reading of each row of (borough, street, ...)."""
     names = streets.columns
     at = names.index("street")
+    ship(streets.sparkSession)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in streets.schema.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

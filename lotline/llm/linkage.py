@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotline.llm.address import forms_of
@@ -109,7 +109,8 @@ def known_streets(lots: DataFrame) -> DataFrame:
 def link_streets(texts: DataFrame, lots: DataFrame) -> DataFrame:
     """(borough, street, street_id, weight, probability, ties) for street texts (borough, street, n).
 
-    ``lots`` has the texts of lots, n being lots, and their distinct house numbers (array houses). A text without a likely street doesn't come out; one with several
+    ``lots`` has the texts of lots, n being lots, and their distinct house numbers (array houses). The probability decides:
+    a text without a likely street doesn't come out, however its name reads; one with several
     equally good streets comes out once for each, with ties > 1. NULL boroughs or streets and streets without a name
     have no street. Repeated rows must be counted in n beforehand.
     """
@@ -135,9 +136,10 @@ def link_streets(texts: DataFrame, lots: DataFrame) -> DataFrame:
     if not weight:
         return pairs.select("borough", "street", "street_id", F.lit(0.0).alias("weight"), F.lit(0.0).alias("probability"), F.lit(0).alias("ties"))
     table = pairs.sparkSession.createDataFrame([(*k, w, prob[k]) for k, w in weight.items()], "name_level int, pre_level int, suf_level int, weight double, probability double")
-    scored = pairs.join(F.broadcast(table), ["name_level", "pre_level", "suf_level"]).where((F.col("probability") >= MIN_PROBABILITY) | (F.col("name_level") == 3))
-    best = scored.groupBy("borough", "street").agg(F.max("weight").alias("top"), F.collect_list(F.struct("street_id", "weight", "probability")).alias("all"))
-    return best.select("borough", "street", F.filter("all", lambda x: x.weight >= F.col("top")).alias("all")).select("borough", "street", F.size("all").alias("ties"), F.explode("all").alias("x")).select("borough", "street", "x.street_id", "x.weight", "x.probability", "ties")
+    scored = pairs.join(F.broadcast(table), ["name_level", "pre_level", "suf_level"]).where(F.col("probability") >= MIN_PROBABILITY)  # at most 27 rows
+    text = Window.partitionBy("borough", "street")
+    best = scored.withColumn("top", F.max("weight").over(text)).where("weight >= top")
+    return best.select("borough", "street", "street_id", "weight", "probability", F.count(F.lit(1)).over(text).cast("int").alias("ties"))
 
 
 def link_addresses(lines: DataFrame) -> DataFrame:
@@ -158,8 +160,9 @@ def link_addresses(lines: DataFrame) -> DataFrame:
     right = placed.where("side = 'target' and ties = 1").select(F.col("id").alias("target_id"), "street_id", "house").distinct()
     met = left.join(right, ["street_id", "house"])
     sure = met.where("ties = 1").select("record_id", "target_id", "probability")
-    torn = met.where("ties > 1").groupBy("record_id").agg(F.count_distinct("street_id").alias("streets"), F.collect_set("target_id").alias("targets"), F.max("probability").alias("probability")).where("streets = 1")
-    return sure.unionByName(torn.select("record_id", F.explode("targets").alias("target_id"), "probability")).groupBy("record_id", "target_id").agg(F.max("probability").alias("probability"))
+    record = Window.partitionBy("record_id")
+    torn = met.where("ties > 1").withColumns({"first": F.min("street_id").over(record), "last": F.max("street_id").over(record)}).where("first = last")
+    return sure.unionByName(torn.select("record_id", "target_id", "probability")).groupBy("record_id", "target_id").agg(F.max("probability").alias("probability"))
 
 
 def zip_boroughs(df: DataFrame, zipcode: Column, borough: Column) -> DataFrame:

@@ -13,7 +13,7 @@ from lotline.llm.entities import match_entities
 from lotline.llm.linkage import link_addresses, zip_boroughs
 from lotline.llm.mixing import mix_sources, planned_shares, sized_documents
 from lotline.llm.quality import common_words, judge, text_statistics
-from lotline.llm.tokens import count_tokens, encode_documents, vocabulary
+from lotline.llm.tokens import count_tokens, decode_ids, encode_documents, vocabulary
 from lotline.operators.spatial import near_points
 from lotline.session import cut, table
 
@@ -117,6 +117,11 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode_documents(table(spark, d, "documents"), "doc_id", "text", vocabulary())
 
 
+def p8_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Every text encoded and decoded again; NULL comes back as the empty text that its ids stand for."""
+    return decode_ids(p8_ids(spark, d), "doc_id", "ids", vocabulary())
+
+
 def _mixed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     docs = table(spark, d, "documents").select("doc_id", "source", "text")
     return mix_sources(sized_documents(count_tokens(docs, "text", vocabulary())), table(spark, d, "mix_plan"))
@@ -150,9 +155,27 @@ def p10_statistics(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def p10_counts(spark: SparkSession, d: str) -> DataFrame:
+    """The plain counts of each text, for comparison with SQL."""
+    words, han = common_words(table(spark, d, "common_word"))
+    return text_statistics(table(spark, d, "documents").select("doc_id", "text"), "text", words, han).select("doc_id", "n_lines", "n_tokens_ws", "longest_token", "hans")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_matches, p4_found, p4_links, p8_ids, p9_draws, p9_shares, p9_plan, p10_found, p10_statistics)}
+    return {f.__name__: f for f in (p2_found, p2_matches, p4_found, p4_links, p8_ids, p8_roundtrip, p9_draws, p9_shares, p9_plan, p10_found, p10_statistics, p10_counts)}
+
+
+_WS = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_KEY = r"nullif(regexp_replace(lower(regexp_replace(source, '^\s+|\s+$', '', 'g')), '[-\s]+', '_', 'g'), '')"
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """What SQL can say of these: the plan of a mix, the round trip of the encoding, the plain counts of texts."""
+    return {
+        "p8_roundtrip": "select doc_id, coalesce(text, '') as text from documents",
+        "p9_plan": rf"""with p as (select mix_name, {_KEY} as source_key, sum(greatest(coalesce(weight, 0), 0)) as w, max(greatest(coalesce(max_repeats, 0), 0)) as cap, max(coalesce(size_share, 0)) as size_share from mix_plan where mix_name is not null group by 1, 2)
+          select mix_name, source_key, cap, size_share, case when sum(w) over (partition by mix_name) > 0 then w / sum(w) over (partition by mix_name) else 0 end as wanted_share from p where source_key is not null""",
+        "p10_counts": rf"""with t as (select doc_id, regexp_replace(regexp_replace(coalesce(text, ''), '\r\n', chr(10), 'g'), '[\r\x{{2028}}]', chr(10), 'g') as t from documents),
+          w as (select doc_id, t, regexp_extract_all(t, '[^{_WS}]+') as w from t)
+          select doc_id, len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^{_WS}]'))) as n_lines, len(w) as n_tokens_ws, coalesce(list_max(list_transform(w, lambda x: length(x))), 0) as longest_token, length(regexp_replace(t, '[^\x{{3400}}-\x{{9fff}}]', '', 'g')) as hans from w""",
+    }

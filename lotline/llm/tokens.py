@@ -20,6 +20,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from lotline.session import ship
+
 #: Fixed value: the published pattern that splits text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: The same for texts of ASCII characters only, where the classes are small and the standard matcher is faster.
@@ -111,7 +113,15 @@ class BpeTransducer:
             self._reset()
         arcs, state, out = self._arcs, 0, []
         for byte in piece:
-            arc = arcs.get(state << 8 | byte) or self._arc(state, byte)
+            arc = arcs.get(state << 8 | byte)
+            if arc is None:
+                if len(arcs) > MAX_ARCS:  # within a long piece only the present state is kept
+                    here = self._states[state]
+                    self._reset()
+                    arcs, state = self._arcs, len(self._states)
+                    self._states.append(here)
+                    self._ids[here] = state
+                arc = self._arc(state, byte)
             state, sent = arc
             if sent:
                 out.extend(sent)
@@ -227,6 +237,7 @@ def encode_documents(df: DataFrame, key: str, text: str, path: str) -> DataFrame
     """
     import pyspark.sql.functions as F
 
+    ship(df.sparkSession)
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,6 +259,7 @@ def count_tokens(df: DataFrame, text: str, path: str) -> DataFrame:
     """``df`` without ``text``, plus n_tokens int (a column of that name is replaced); NULL and empty texts count 0."""
     from pyspark.sql.types import IntegerType, StructField, StructType
 
+    ship(df.sparkSession)
     keep = [c for c in df.columns if c not in (text, "n_tokens")]
     schema = StructType([*(df.schema[c] for c in keep), StructField("n_tokens", IntegerType())])
 
@@ -262,6 +274,7 @@ def count_tokens(df: DataFrame, text: str, path: str) -> DataFrame:
 
 def decode_ids(df: DataFrame, key: str, ids: str, path: str) -> DataFrame:
     """(key, text) from lists of ids, through the incremental decoder; NULL lists give NULL."""
+    ship(df.sparkSession)
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -59,3 +59,19 @@ def test_documents(spark, ref):
     n = {r.doc_id: r.n_tokens for r in count_tokens(df.select("doc_id", "text"), "text", vocabulary()).collect()}
     assert n == {k: len(ref.encode_ordinary(t or "")) for k, t, _ in rows}
     assert encode_documents(df.limit(0), "doc_id", "text", vocabulary()).count() == 0
+
+
+def test_long_pieces_keep_few_states(monkeypatch):
+    """A piece without end fills no table without end, and its ids stay those of the definition."""
+    import random
+
+    from lotline.llm import tokens as T
+
+    fst = T.encoder(T.vocabulary()).fst
+    rng = random.Random(1)
+    piece = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(4000)).encode()
+    want = fst.merge(piece)
+    monkeypatch.setattr(T, "MAX_ARCS", 50)
+    small = T.BpeTransducer(fst.ranks)
+    assert list(small.encode_piece(piece)) == want
+    assert len(small._arcs) <= 52 and len(small._states) <= 60
