@@ -12,7 +12,7 @@ from lotline.operators.once import deliver_once, repeated_messages
 from lotline.operators.orphans import orphan_references, orphan_report
 from lotline.operators.snapshots import snapshot_changes, versions_in_order
 from lotline.operators.spatial import containing_regions, near_points
-from lotline.operators.trailing import daily_counts, trailing_totals
+from lotline.operators.trailing import correct_nodes, daily_counts, totals_of_nodes, trailing_totals, tree_nodes
 from lotline.session import cut, table
 
 NEAR_M = 25.0
@@ -84,12 +84,20 @@ def p3_report(spark: SparkSession, d: str) -> DataFrame:
     return orphan_report(_orphans(spark, d), known, current)
 
 
+FACTS = {"fact_311_event": "created_date", "fact_hpd_violation": "inspectiondate", "fact_dob_violation": "violation_issue_date"}
+
+
+def p5_corrected(spark: SparkSession, d: str) -> DataFrame:
+    """As p5_trailing, but from stored trees: those of the complaints, corrected by the violations as by late events."""
+    daily = {f: cut(daily_counts([(table(spark, d, f), "building_id", F.col(c))], blank=True)) for f, c in FACTS.items()}
+    until = max((x for df in daily.values() if (x := df.agg(F.max("day")).first()[0]) is not None), default=None)
+    known = {f: df.where(not_blank(F.col("entity"))) for f, df in daily.items()}
+    nodes = cut(correct_nodes(tree_nodes(known["fact_311_event"]), known["fact_hpd_violation"].unionByName(known["fact_dob_violation"])))
+    return totals_of_nodes(nodes, (7, 30), until=until).select(F.col("entity").alias("building_id"), _day().alias("on_day"), "total_7", "total_30", "avg_7", "avg_30")
+
+
 def _trailing(spark: SparkSession, d: str, keep=None) -> DataFrame:
-    events = [
-        (table(spark, d, "fact_311_event"), "building_id", F.col("created_date")),
-        (table(spark, d, "fact_hpd_violation"), "building_id", F.col("inspectiondate")),
-        (table(spark, d, "fact_dob_violation"), "building_id", F.col("violation_issue_date")),
-    ]
+    events = [(table(spark, d, f), "building_id", F.col(c)) for f, c in FACTS.items()]
     every = cut(daily_counts(events, blank=True))  # the facts are read once; the last day may be that of an event without a building
     until = every.agg(F.max("day")).first()[0]
     return trailing_totals(every.where(not_blank(F.col("entity"))), (7, 30), keep, until=until)
@@ -142,7 +150,7 @@ def p7_fields(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_near_counts, p1_regions, p3_found, p3_report, p5_found, p5_trailing, p6_found, p6_once, p7_found, p7_fields)}
+    return {f.__name__: f for f in (p1_found, p1_near_counts, p1_regions, p3_found, p3_report, p5_found, p5_trailing, p5_corrected, p6_found, p6_once, p7_found, p7_fields)}
 
 
 _MK = r"case when regexp_full_match(regexp_replace({c}, '^\s+|\s+$', '', 'g'), '[0-9]+(\.0*)?') then coalesce(nullif(ltrim(regexp_replace(regexp_replace({c}, '^\s+|\s+$', '', 'g'), '\.0*$', ''), '0'), ''), '0') else nullif(regexp_replace({c}, '^\s+|\s+$', '', 'g'), '') end"
@@ -201,6 +209,7 @@ def oracle_sql() -> dict[str, str]:
           count(*) as orphans, count(distinct ref_id) as distinct_ids from o left join k on k.key = o.ref_id group by 1, 2, 3, 4""",
         "p5_found": daily + " select building_id, strftime(dd, '%Y-%m-%d') as on_day from w where total_7 >= 4 and total_30 <= 20 and 15 * total_7 >= 7 * total_30",
         "p5_trailing": daily + " select building_id, strftime(dd, '%Y-%m-%d') as on_day, total_7, total_30, total_7 / 7.0 as avg_7, total_30 / 30.0 as avg_30 from w",
+        "p5_corrected": daily + " select building_id, strftime(dd, '%Y-%m-%d') as on_day, total_7, total_30, total_7 / 7.0 as avg_7, total_30 / 30.0 as avg_30 from w",
         "p6_found": msgs + " select source_table, message_id from m where message_id is not null group by 1, 2 having count(*) > 1",
         "p6_once": msgs + " select source_table, message_id, run_id, ingested_at from m where message_id is not null qualify row_number() over (partition by source_table, message_id order by ingested_at desc nulls last, run_id desc nulls last) = 1",
         "p7_found": changes + " select bbl, version_from, version_to, change_kind from ch",

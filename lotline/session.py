@@ -53,7 +53,9 @@ def ship(spark: SparkSession) -> None:
     if sc.applicationId in _shipped:
         return
     root = Path(__file__).resolve().parent
-    out = os.path.join(tempfile.mkdtemp(prefix="lotline-"), "lotline.zip")
+    folder = tempfile.mkdtemp(prefix="lotline-")  # the driver hands the file to the executors
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    out = os.path.join(folder, "lotline.zip")
     with zipfile.ZipFile(out, "w") as z:
         for p in sorted(root.rglob("*.py")):
             z.write(p, p.relative_to(root.parent))

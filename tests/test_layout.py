@@ -41,3 +41,23 @@ def test_sql_belongs_to_queries():
 
     for m in (catalog, problems):
         assert set(m.oracle_sql()) <= set(m.queries())
+
+
+def test_cut_needs_a_shared_folder():
+    """A cluster without a checkpoint folder is an error, not a folder of one machine; a session's own folder is taken."""
+    from types import SimpleNamespace
+
+    import pytest
+
+    from lotline import session
+
+    def fake(master, setting):
+        at = SimpleNamespace(folder=None)
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: at.folder, setCheckpointDir=lambda f: setattr(at, "folder", f))
+        spark = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: setting))
+        return SimpleNamespace(sparkSession=spark, checkpoint=lambda eager: at.folder)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.cut(fake("spark://host:7077", None))
+    assert session.cut(fake("spark://host:7077", "hdfs://shared")) == "hdfs://shared"
+    assert session.cut(fake("local[2]", None))

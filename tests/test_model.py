@@ -74,6 +74,12 @@ def test_documents_are_clean_at_any_depth(spark):
     assert json.loads(S.documents_json(df).first()[0]) == {"s": {"a": None, "b": [{"c": None, "d": "2027-01-02"}]}, "m": {"k": None}, "x": 1.5, "t": "2027-01-02T03:04:05.006", "n": None, "v": [None, 1.0]}
 
 
+def test_processing_time_on_request(spark):
+    df = spark.createDataFrame([("1 a", 1.0, 2.0)], "address string, latitude double, longitude double")
+    assert "serving_calculated_at" not in S.serving(df, "X", "address").columns
+    assert S.serving(df, "X", "address", stamp=True).where("serving_calculated_at > timestamp'2020-01-01'").count() == 1
+
+
 def test_calibration_without_gathering(spark):
     rng = random.Random(4)
     for values in ([rng.randint(1, 40) / 4 for _ in range(500)], [1.0], [5.0, -1.0, 0.0, None, 7.0]):
