@@ -274,16 +274,15 @@ def candidates(t: Tables, buildings: DataFrame, with_similarity: bool) -> DataFr
     u = buildings.select("bin", F.col("latitude").alias("la"), F.col("longitude").alias("lo"), F.nullif(T.borough(F.col("borough")), F.lit("")).alias("bb"), T.house_number(F.col("current_address")).alias("bh"), F.nullif(_street("current_address"), F.lit("")).alias("bs"))
     p = t.dim_property.select("bbl", F.col("latitude").alias("lb"), F.col("longitude").alias("lob"), T.borough(F.col("borough")).alias("pb"), T.house_number(F.col("property_address")).alias("ph"), F.nullif(_street("property_address"), F.lit("")).alias("ps"))
     near = R.grid_pairs(u, p, 200, ("la", "lb"), ("lo", "lob")).where("bb is null or bb = pb").withColumnRenamed("distance_m", "distance")
-    near = R.nearest_candidates(near, "bin", [F.col("distance"), F.col("bbl")])
     named = u.where("(la is null or lo is null) and bs is not null").withColumn("boro", F.explode(F.when(F.col("bb").isNotNull(), F.array("bb")).otherwise(F.array(*map(F.lit, T.BOROUGH_NAMES.values())))))
     streets = p.where("ps is not null").select(F.col("ps").alias("street"), F.col("pb").alias("boro")).distinct()
     fits = R.fuzzy_pairs(named.select(F.col("bs").alias("query"), "boro").distinct(), streets, "boro")
     like = named.join(fits.withColumnRenamed("query", "bs"), ["bs", "boro"]).join(p.withColumns({"street": F.col("ps"), "boro": F.col("pb")}), ["street", "boro"]).where("bh is null or bh = ph").withColumn("distance", F.lit(None).cast("double"))
-    like = R.nearest_candidates(like, "bin", [(F.col("bs") != F.col("ps")).cast("int"), F.col("bbl")])
     eq = lambda a, b: F.coalesce(F.col(a) == F.col(b), F.lit(False))
     sim = F.coalesce(R.street_similarity(F.col("bs"), F.col("ps")), F.lit(0.0)) if with_similarity else F.lit(0.0)
     cols = ["bin", "bbl", "distance", "bh", "ph", "bs", "ps", "bb", "pb"]
-    g = near.select(*cols).unionByName(like.select(*cols))
+    both = near.select(*cols).unionByName(like.select(*cols))  # a building is on one side only
+    g = R.nearest_candidates(both, "bin", [F.col("distance"), F.when(F.col("distance").isNull(), (F.col("bs") != F.col("ps")).cast("int")), F.col("bbl")])
     g = g.select("bin", "bbl", "distance", eq("bh", "ph").alias("house"), eq("bs", "ps").alias("street"), eq("bb", "pb").alias("same_borough"), sim.alias("similarity"))
     return g.withColumn("score", R.candidate_score(F.col("house"), F.col("street"), F.col("similarity"), F.col("same_borough"), F.col("distance")))
 
@@ -328,7 +327,9 @@ def q41b_candidate_similarity(t: Tables) -> DataFrame:
 
 
 def identity_cascade(t: Tables) -> DataFrame:
-    """(bin, bbl, method, confidence, status): the lot of each building by four stages; the last asks the candidate resolver."""
+    """(bin, bbl, method, confidence, status): the lot of each building by four stages; the last asks the candidate resolver.
+
+    What the first three leave is made once before the resolver reads it several times."""
     known = t.dim_property.select("bbl", T.borough(F.col("borough")).alias("boro"), T.address_light(F.col("property_address")).alias("address"))
     by_address = known.where("address <> ''").select("boro", "address", F.col("bbl").alias("lot"))
     b = t.building_identity.select("bin", "current_bbl", "bbl_aliases", "current_address", "address_aliases", "borough", "latitude", "longitude")
@@ -338,7 +339,7 @@ def identity_cascade(t: Tables) -> DataFrame:
         R.Stage("DIRECT_BBL", lambda df: df.join(known.select("bbl"), F.col("current_bbl") == F.col("bbl")).select("bin", "bbl")),
         R.Stage("BBL_HISTORY", lambda df: R.unique_target(df.select("bin", F.explode("bbl_aliases").alias("bbl")).join(known.select("bbl"), "bbl"), ["bin"], "bbl")),
         R.Stage("EXACT_ADDRESS", lambda df: R.unique_target(read(df).join(by_address, ["boro", "address"]), ["bin"], "lot").withColumnRenamed("lot", "bbl")),
-        R.Stage("ELASTICSEARCH", lambda df: R.unique_target(resolver(t, df).where("status = 'AUTO_RESOLVED'").join(known.select("bbl"), "bbl"), ["bin"], "bbl")),
+        R.Stage("ELASTICSEARCH", lambda df: R.unique_target(resolver(t, cut(df)).where("status = 'AUTO_RESOLVED'").join(known.select("bbl"), "bbl"), ["bin"], "bbl")),
     ]
     return R.run_cascade(b, "bin", stages, "bbl")
 

@@ -12,6 +12,11 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Spark 4.1 unions branches partition by partition where all are partitioned alike, and fails ("Can't zip RDDs with unequal
+#: numbers of partitions") where adaptive execution then merges partitions of some of them only.
+UNION_SETTING = "spark.sql.unionOutputPartitioning"
+
+
 def get_spark(app: str = "lotline", master: str | None = None, **conf: str) -> SparkSession:
     """A UTC session with adaptive execution; keyword settings use ``__`` for dots."""
     b = SparkSession.builder.appName(app)
@@ -23,6 +28,7 @@ def get_spark(app: str = "lotline", master: str | None = None, **conf: str) -> S
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        UNION_SETTING: "false",
     }
     for k, v in {**base, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         b = b.config(k, v)
@@ -65,6 +71,8 @@ def ship(spark: SparkSession) -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
+    if spark.conf.get(UNION_SETTING, None) is None:
+        spark.conf.set(UNION_SETTING, "false")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
