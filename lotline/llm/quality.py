@@ -254,12 +254,14 @@ def published() -> dict[str, Column]:
     return gopher | {"fineweb_punctuation": c("ended_line_share") <= 0.12, "fineweb_short_lines": c("brief_line_share") >= 0.67}
 
 
-def rules() -> dict[str, dict[str, Column]]:
-    """The fixed thresholds that decide: kind -> reason -> condition on the statistics. Earlier kinds win.
+def rules() -> list[tuple[str, dict[str, Column]]]:
+    """The fixed thresholds that decide: (kind, reason -> condition on the statistics), the first kind that holds wins.
 
-    They use the statistics of the published rules, with thresholds for texts that may be short and of any script: by
-    their own thresholds those would refuse every short message, and call many lists and tables prose.
+    Published rules decide by their own thresholds where they hold for texts of any length, those on letters and short
+    lines only for scripts with spaces and texts of some length. The rest use the same statistics with thresholds of our
+    own: by theirs the published rules refuse every short message, and call many lists and tables prose.
     """
+    known = published()
     c = F.col
     spaced = c("han_share") < 0.1
     regular = (
@@ -268,7 +270,7 @@ def rules() -> dict[str, dict[str, Column]]:
         & (c("ended_line_share") < 0.3)
     )
     entries = (c("inline_bullets") >= 3) | (c("separators") >= 4)
-    return {
+    decide = {
         "junk": {
             "markup": c("tag_share") >= 0.3,
             "broken_encoding": (c("mojibake_share") >= 0.06) | (c("replacement_share") >= 0.1),
@@ -290,6 +292,12 @@ def rules() -> dict[str, dict[str, Column]]:
             "inline_entries": ((c("separators") >= 4) & (c("n_tokens_ws") < 9 * c("separators"))) | ((c("inline_bullets") >= 5) & (c("n_tokens_ws") < 10 * c("inline_bullets"))),
         },
     }
+    long_enough = spaced & (c("n_tokens_ws") >= 20)
+    return [
+        *decide.items(),
+        ("list", {"gopher_bullets": known["gopher_bullets"], "fineweb_short_lines": known["fineweb_short_lines"] & spaced & (c("n_lines") >= 3)}),
+        ("junk", {**{k: known[k] for k in ("gopher_word_length", "gopher_symbols", "gopher_ellipses")}, "gopher_alphabetic": known["gopher_alphabetic"] & long_enough}),
+    ]
 
 
 def judge(stats: DataFrame) -> DataFrame:
@@ -300,9 +308,9 @@ def judge(stats: DataFrame) -> DataFrame:
     """
     some = F.col("n_solid") > 0
     table = rules()
-    reasons = F.array_compact(F.array(*[F.when(some & cond, F.lit(f"{kind}:{why}")) for kind, own in table.items() for why, cond in own.items()]))
+    reasons = F.array_compact(F.array(*[F.when(some & cond, F.lit(f"{kind}:{why}")) for kind, own in table for why, cond in own.items()]))
     kind = F.when(~some, "blank")
-    for k, own in table.items():
+    for k, own in table:
         kind = kind.when(reduce(or_, own.values()), k)
     broken = F.array_compact(F.array(*[F.when(some & cond, F.lit(name)) for name, cond in published().items()]))
     return stats.withColumns({"reasons": reasons, "published_failures": broken, "kind": kind.otherwise("prose")})
