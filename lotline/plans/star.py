@@ -516,7 +516,7 @@ def q68_source_report(t: Tables) -> DataFrame:
 @C.add(sql_gate(("rows", "(select count(*) from building_identity)", "v >= 1"), ("duplicate_bin", "(select count(bin) - count(distinct bin) from building_identity)", "v = 0"), ("coverage", "(select floor(count(*) filter (resolution_status = 'RESOLVED') * 100.0 / count(*) * 100 + 0.5) / 100 from building_identity)", "v between 95 and 100")))
 def q69_identity_gate(t: Tables) -> DataFrame:
     """One row a building and at least 95 % of them with a lot."""
-    share = N.round_half_up(F.count_if(F.col("resolution_status") == "RESOLVED") * 100.0 / F.count(F.lit(1)))
+    share = N.round_half_up(F.try_divide(F.count_if(F.col("resolution_status") == "RESOLVED") * 100.0, F.count(F.lit(1))))
     return shown(Q.evaluate(t.building_identity, [Q.not_empty(), Q.duplicates("bin"), Q.Expectation("coverage", share, 95, 100)]))
 
 

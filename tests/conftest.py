@@ -35,6 +35,15 @@ def sf():
     return str(d)
 
 
+@pytest.fixture(scope="session")
+def empty(spark, sf, tmp_path_factory):
+    """The same tables without rows."""
+    out = tmp_path_factory.mktemp("empty")
+    for p in Path(sf).glob("*.parquet"):
+        spark.read.parquet(str(p)).limit(0).coalesce(1).write.parquet(str(out / p.name))
+    return str(out)
+
+
 @pytest.fixture(scope="session")
 def duck(sf):
     import duckdb

@@ -20,3 +20,11 @@ def test_query(spark, sf, duck, name):
     if name in SQL:
         rel = duck.sql(f"select {', '.join(chr(34) + c + chr(34) for c in cols)} from ({SQL[name]})")
         assert same_rows(rows, rel.fetchall())
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_empty_tables(spark, empty, name):
+    """No query fails without rows, and no operator finds something in nothing."""
+    n = QUERIES[name](spark, empty).count()
+    if name.startswith("p"):
+        assert n == 0
