@@ -26,3 +26,8 @@ def test_no_unbounded_joins(spark, sf, name):
     text = Q.queries()[name](spark, sf)._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     assert "CartesianProduct" not in text
     assert "NestedLoopJoin" not in text
+
+
+@pytest.mark.parametrize("name", sorted(set(Q.queries()) - {"p9_shares", "p9_plan"}))
+def test_empty_tables(spark, empty, name):
+    assert Q.queries()[name](spark, empty).count() == 0
